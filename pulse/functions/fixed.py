@@ -138,3 +138,10 @@ EMOJI = (
 PUNCTUATION = r"[^\p{L}\p{N}_\s\x0B\x1C-\x1F\x{85}\p{Z}]"
 NON_ASCII = r"[^\x00-\x7F]+"
 MOJIBAKE = r"Ã©|Ã\x{A0}|Ã¨"
+
+# -- fixed values: phases (name, start, end, end is inside)
+PHASES = [
+    ("T-0 (Baseline: Nov-Dec 2020)", "2020-11-01", "2021-01-01", False),
+    ("T+1 (Shock Phase: Jan 2021)", "2021-01-01", "2021-02-01", False),
+    ("T+2 (Fallout Phase: Feb-Jul 2021)", "2021-02-01", "2021-07-31", True),
+]

@@ -130,9 +130,13 @@ def snippet(c, n: int = 90) -> Column:
 def title_case(c) -> Column:
     """Capital after every non-letter, so ``o'neil`` becomes ``O'Neil``."""
     runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
-    return F.array_join(
-        F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), r.substr(F.lit(2), F.length(r)))), ""
-    )
+
+    def titled(r: Column) -> Column:
+        first = F.upper(F.substring(r, 1, 1))  # one letter may become two, as ß does
+        rest = r.substr(F.lit(2), F.length(r))
+        return F.concat(F.substring(first, 1, 1), F.lower(first.substr(F.lit(2), F.lit(2))), rest)
+
+    return F.array_join(F.transform(runs, titled), "")
 
 
 def casing(c, name: str) -> Column:

@@ -1,4 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
-from pulse.plans import cleaning_queries, engagement_queries  # noqa: F401
+from pulse.plans import cleaning_queries, engagement_queries, series_queries  # noqa: F401
 from pulse.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -134,7 +134,7 @@ def text_clean_variants(spark, d):
 
 @query("text_casing", with_("marked") + f"""
 SELECT doc_id, array_to_string(list_transform(regexp_extract_all(lower({strip_sql('body')}), '\\p{{L}}+|[^\\p{{L}}]+'),
-  lambda w: upper(w[1]) || w[2:]), '') AS title, lower({strip_sql('body')}) AS lowered FROM marked""")
+  lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || w[2:]), '') AS title, lower({strip_sql('body')}) AS lowered FROM marked""")
 def text_casing(spark, d):
     return marked(spark, d).select(
         "doc_id", T.casing("body", "city").alias("title"), T.casing("body", "body").alias("lowered")
@@ -158,15 +158,15 @@ def top_hashtags(spark, d):
     return R.top_k(tags.groupBy("hashtag").agg(F.count(F.lit(1)).alias("n")), [F.desc("n"), F.col("hashtag")], 15)
 
 
-# Every seventh word becomes a cue, so that scopes open in all languages.
-_CUED_SQL = """
-cued AS (SELECT doc_id, regexp_replace(regexp_replace("text", '\\b(the|les|und|que) ', 'not ', 'g'), '\\b(is|est|ist) ', 'NEVER ', 'g') AS body
+# Common words of each language become cues, so that scopes open in all of them.
+_CUED_SQL = r"""
+cued AS (SELECT doc_id, regexp_replace(regexp_replace("text", '(^| )(the|les|und|que) ', '\1not ', 'g'), '(^| )(is|est|ist) ', '\1NEVER ', 'g') AS body
   FROM documents)"""
 
 
 def _cued(spark, d):
-    body = F.regexp_replace("text", r"\b(the|les|und|que) ", "not ")
-    return table(spark, d, "documents").select("doc_id", F.regexp_replace(body, r"\b(is|est|ist) ", "NEVER ").alias("body"))
+    body = F.regexp_replace("text", "(^| )(the|les|und|que) ", "$1not ")
+    return table(spark, d, "documents").select("doc_id", F.regexp_replace(body, "(^| )(is|est|ist) ", "$1NEVER ").alias("body"))
 
 
 @query("negation_scope", f"""WITH {_CUED_SQL},
