@@ -92,7 +92,7 @@ def correlate(events: DataFrame, triggers: DataFrame, headlines: DataFrame, max_
     found = within_interval(dated.select("event_ts"), headlines, hours, k)
     heads = found.groupBy("event_ts").agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct((-F.unix_micros("ts")).alias("neg"), "item_id", "title"))),
+            F.sort_array(F.collect_list(F.struct((-F.unix_micros("ts")).alias("neg"), "item_id", "title"))),
             lambda h: h["title"],
         ).alias("headlines")
     )

@@ -249,7 +249,7 @@ def bootstrap_ci(conf: DataFrame, n: int = 1000, seed: int = 42, alpha: float =
     Resampling rows and counting the confusion cells is one multinomial draw
     of the cells, so replicates never touch the predictions again.
     """
-    cells = conf.agg(F.array_sort(F.collect_list(F.struct("y_true", "y_pred", "n"))).alias("cells"))
+    cells = conf.agg(F.sort_array(F.collect_list(F.struct("y_true", "y_pred", "n"))).alias("cells"))
     reps = cells.select("cells", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("rep"))
 
     def draw(batches):
@@ -271,7 +271,7 @@ def bootstrap_ci(conf: DataFrame, n: int = 1000, seed: int = 42, alpha: float =
 
     runs = reps.repartition(8).mapInPandas(draw, "rep long, accuracy double, macro_f1 double")
     long = runs.unpivot(["rep"], ["accuracy", "macro_f1"], "metric", "score")
-    ordered = long.groupBy("metric").agg(F.array_sort(F.collect_list("score")).alias("s"))
+    ordered = long.groupBy("metric").agg(F.sort_array(F.collect_list("score")).alias("s"))
     lo, hi = int(alpha / 2 * n), min(n - 1, int((1 - alpha / 2) * n))
     total = F.aggregate("s", F.lit(0.0), lambda a, x: a + x)
     return ordered.select(

@@ -43,7 +43,7 @@ def gram_rows(df: DataFrame, keys: list[str], stop_words: list[str], lo: int = 1
     if stop_words:
         toks = F.filter(toks, lambda t: ~t.isin(stop_words))
     base = df.select(*keys, toks.alias("toks"))
-    base = base.select(*keys, F.array_sort(word_grams("toks", lo, hi)).alias("grams"))
+    base = base.select(*keys, F.sort_array(word_grams("toks", lo, hi)).alias("grams"))
     flagged = F.transform(
         "grams",
         lambda g, i: F.struct(
@@ -143,13 +143,13 @@ def bucket_summary(df: DataFrame, terms: DataFrame, found: DataFrame, k_entities
     )
     listed = terms.groupBy("bucket").agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("o"), "term"))), lambda t: t["term"]
+            F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("o"), "term"))), lambda t: t["term"]
         ).alias("trending_terms")
     )
     top = top_k(found, [F.desc("mentions"), F.col("entity"), F.col("type")], k_entities, ["bucket"])
     named = top.groupBy("bucket").agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct((-F.col("mentions")).alias("o"), "entity", "type"))),
+            F.sort_array(F.collect_list(F.struct((-F.col("mentions")).alias("o"), "entity", "type"))),
             lambda e: e["entity"],
         ).alias("top_entities")
     )
