@@ -39,7 +39,6 @@ from pulse.functions.values import sentiment_number
 from pulse.operators import evaluation as V
 from pulse.operators.features import char_grams, vocab_size
 from pulse.operators.splits import assign_folds, halves, stratified_split
-from pulse.session import slices
 
 SCORES = ["accuracy", "macro_f1", "weighted_f1", "macro_precision", "macro_recall"]
 
@@ -170,7 +169,8 @@ def training_set(df: DataFrame, labels: list[str] = X.LABELS, balanced: bool = T
     """``id, text, y_true`` with label number and class weight.
 
     The weight is ``n / (k * n_class)``; one count per class is collected.
-    Fits pass over the rows many times, so they are spread evenly first.
+    Fits pass over the rows many times, so they are spread evenly first; the
+    number of partitions follows their size.
     """
     wanted = df.where(F.col("y_true").isin(labels))
     index = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col("y_true")) - 1
@@ -181,18 +181,18 @@ def training_set(df: DataFrame, labels: list[str] = X.LABELS, balanced: bool = T
     if balanced:
         pairs = [F.lit(v) for c, n in counts.items() for v in (c, total / (len(counts) * n))]
         weight = F.element_at(F.create_map(*pairs), F.col("y_true"))
-    return out.withColumn("weight", weight).repartition(slices(df.sparkSession), "id")
+    return out.withColumn("weight", weight).repartition("id")
 
 
-def _logistic(c: float, n: int) -> LogisticRegression:
+def _logistic(c: float, n: int, max_iter: int = 50) -> LogisticRegression:
     return LogisticRegression(
         featuresCol="word_vec", labelCol="label", weightCol="weight", regParam=1 / (c * n),
-        maxIter=50, standardization=False, family="multinomial",
+        maxIter=max_iter, standardization=False, family="multinomial",
     )
 
 
-def _svm(c: float, n: int) -> OneVsRest:
-    inner = LinearSVC(regParam=1 / (c * n), maxIter=30, standardization=False)
+def _svm(c: float, n: int, max_iter: int = 30) -> OneVsRest:
+    inner = LinearSVC(regParam=1 / (c * n), maxIter=max_iter, standardization=False)
     return OneVsRest(
         classifier=inner, featuresCol="word_vec", labelCol="label", weightCol="weight", rawPredictionCol="rawPrediction"
     )
@@ -202,18 +202,18 @@ def _bayes(smoothing: float, kind: str = "multinomial") -> NaiveBayes:
     return NaiveBayes(featuresCol="word_vec", labelCol="label", smoothing=smoothing, modelType=kind)
 
 
-def candidates(n: int, c: float = 1.0) -> dict[str, Pipeline]:
+def candidates(n: int, c: float = 1.0, max_iter: int = 30) -> dict[str, Pipeline]:
     """The classifiers compared; ``n`` is the training size."""
     return {
         "Multinomial Naive Bayes": Pipeline(stages=[*word_features(sublinear=False), _bayes(0.5)]),
         "Complement Naive Bayes": Pipeline(stages=[*word_features(), _bayes(0.5, "complement")]),
-        "Logistic Regression": Pipeline(stages=[*word_features(), _logistic(c, n)]),
-        "Linear SVM": Pipeline(stages=[*word_features(), _svm(c, n)]),
+        "Logistic Regression": Pipeline(stages=[*word_features(), _logistic(c, n, max_iter)]),
+        "Linear SVM": Pipeline(stages=[*word_features(), _svm(c, n, max_iter)]),
     }
 
 
-def char_union_svm(n: int, c: float = 1.0) -> Pipeline:
-    return Pipeline(stages=[*union_features(), _svm(c, n)])
+def char_union_svm(n: int, c: float = 1.0, max_iter: int = 30) -> Pipeline:
+    return Pipeline(stages=[*union_features(), _svm(c, n, max_iter)])
 
 
 BASELINE = "Majority-Class Baseline"

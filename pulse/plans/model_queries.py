@@ -22,7 +22,7 @@ def training(spark, d):
 
 
 def small_logistic(n: int = 300, min_df: float = 2.0) -> Pipeline:
-    return Pipeline(stages=[*M.word_features((1, 1), min_df=min_df, max_features=5000), M._logistic(1.0, n)])
+    return Pipeline(stages=[*M.word_features((1, 1), min_df=min_df, max_features=5000), M._logistic(1.0, n, 15)])
 
 
 def small_bayes(grams: tuple[int, int] = (1, 1)) -> Pipeline:
@@ -30,7 +30,7 @@ def small_bayes(grams: tuple[int, int] = (1, 1)) -> Pipeline:
 
 
 def small_svm(n: int = 300) -> Pipeline:
-    return Pipeline(stages=[*M.word_features((1, 1), max_features=5000), M._svm(1.0, n)])
+    return Pipeline(stages=[*M.word_features((1, 1), max_features=5000), M._svm(1.0, n, 10)])
 
 
 # -- features ------------------------------------------------------------------------
@@ -112,7 +112,7 @@ def candidate_predictions(spark, d):
     return M._stack(
         [
             M.predict(p.fit(rows), rows).select(F.lit(n).alias("model"), "id", "y_true", "y_pred")
-            for n, p in M.candidates(300).items()
+            for n, p in M.candidates(300, max_iter=10).items()
         ]
     )
 
@@ -120,7 +120,7 @@ def candidate_predictions(spark, d):
 @query("char_union_predictions")
 def char_union_predictions(spark, d):
     rows = training(spark, d)
-    return M.predict(M.char_union_svm(300).fit(rows), rows).select("id", "y_true", "y_pred")
+    return M.predict(M.char_union_svm(300, max_iter=10).fit(rows), rows).select("id", "y_true", "y_pred")
 
 
 @query("tuned_model")
