@@ -6,5 +6,6 @@ from pulse.plans import (  # noqa: F401
     evaluation_queries,
     model_queries,
     series_queries,
+    source_queries,
 )
 from pulse.plans.registry import ORACLES, QUERIES  # noqa: F401
