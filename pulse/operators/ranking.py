@@ -29,13 +29,17 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _value_slices(df: DataFrame, order: str, by: list[str]) -> DataFrame:
+def _value_slices(df: DataFrame, order: str, values: list[str], by: list[str]) -> DataFrame:
+    """Add ``_slice`` and the group's totals. Both come from one aggregate, so
+    every branch reads the same columns of ``df`` and its shuffle is reused."""
     n = slices(df.sparkSession)
     marks = F.percentile_approx(order, [i / n for i in range(1, n)], F.lit(10 * n)).alias("_cuts")
+    facts = [marks, *[F.sum(v).alias(f"{v}_total") for v in values]]
     if by:
-        cut = join_on(df, df.groupBy(*by).agg(marks), by)
+        cut = join_on(df, df.groupBy(*by).agg(*facts), by)
     else:
-        cut = df.withColumn("_cuts", df.agg(marks).scalar())
+        one = df.agg(*facts).select(F.struct("*")).scalar()
+        cut = df.withColumn("_one", one).select("*", "_one.*").drop("_one")
     return cut.withColumn("_slice", F.size(F.filter("_cuts", lambda m: m < F.col(order)))).drop("_cuts")
 
 
@@ -49,16 +53,11 @@ def running_totals(
     equal values cannot pile up in one slice.
     """
     by = list(by or [])
-    cut = _value_slices(df, order, by)
+    cut = _value_slices(df, order, values, by)
     keys = [*by, "_slice"]
     sums = cut.groupBy(*keys).agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
     ahead = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
-    sums = sums.select(
-        *keys,
-        *[F.coalesce(F.sum(f"_s_{v}").over(ahead), F.lit(0)).alias(f"_a_{v}") for v in values],
-        *[F.sum(f"_s_{v}").over(whole).alias(f"{v}_total") for v in values],
-    )
+    sums = sums.select(*keys, *[F.coalesce(F.sum(f"_s_{v}").over(ahead), F.lit(0)).alias(f"_a_{v}") for v in values])
     inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     out = join_on(cut, sums, keys)
     for v in values:

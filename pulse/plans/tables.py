@@ -13,8 +13,18 @@ from pyspark.sql import functions as F
 from pulse.functions import fixed as X
 
 
+# Tables whose rows are costly to work on, with their key.
+_HEAVY = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A driver table. A text table in fewer splits than there are cores is
+    spread over them; one of many splits, as on a cluster, is left alone."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in _HEAVY and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, _HEAVY[name])
+    return df
 
 
 CTE: dict[str, str] = {}

@@ -44,7 +44,7 @@ POST_COLUMNS = [
 ]
 
 
-def load_tables(users: DataFrame, posts: DataFrame, folder: str, buckets: int = 64) -> DataFrame:
+def load_tables(users: DataFrame, posts: DataFrame, folder: str, buckets: int = 16) -> DataFrame:
     """Write users and posts in table order and report broken constraints.
 
     Posts are clustered by user within files of one platform, so filters on
