@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulse.operators.ranking import top_k
+from pulse.session import stored
 
 
 def merge_events(shift_rows: DataFrame, spike_rows: DataFrame) -> DataFrame:
@@ -88,7 +89,7 @@ def hypotheses(events: DataFrame) -> DataFrame:
 
 def correlate(events: DataFrame, triggers: DataFrame, headlines: DataFrame, max_days: int = 7, hours: int = 48, k: int = 5) -> DataFrame:
     """Events with nearest trigger, newest headlines nearby, hypothesis."""
-    dated = events.withColumn("event_ts", F.col("event_date").cast("timestamp"))
+    dated = stored(events.withColumn("event_ts", F.col("event_date").cast("timestamp")))
     found = within_interval(dated.select("event_ts"), headlines, hours, k)
     heads = found.groupBy("event_ts").agg(
         F.transform(

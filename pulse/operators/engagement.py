@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from pulse.functions import fixed as X
 from pulse.functions.times import month
-from pulse.operators.ranking import top_k, value_ranks
+from pulse.operators.ranking import quantiles, top_k, value_ranks
+from pulse.session import stored
 
 COMPONENTS = ["likes", "shares", "comments"]
 
@@ -130,7 +131,7 @@ def _with_platform_mean(posts: DataFrame) -> DataFrame:
     window would put a whole platform into one task."""
     base = rated(with_engagement(posts))
     means = base.groupBy("platform").agg(F.avg("total_engagement").alias("platform_avg"))
-    return base.join(means, "platform")
+    return base.join(stored(means), "platform")
 
 
 def above_group_average(posts: DataFrame, factor: float = 2.0) -> DataFrame:
@@ -145,7 +146,8 @@ def top_percentile(posts: DataFrame, p: float = 0.95) -> DataFrame:
     """Posts in the top share of their platform, by percent rank."""
     base = rated(with_engagement(posts))
     top = value_ranks(base, "total_engagement", ["platform"]).where(F.col("pct_rank") >= p)
-    hit = base.join(top.select("platform", "total_engagement", "pct_rank"), ["platform", "total_engagement"])
+    top = stored(top.select("platform", "total_engagement", "pct_rank"))
+    hit = base.join(top, ["platform", "total_engagement"])
     return hit.select(
         "post_id", "platform", "total_engagement", F.round("pct_rank", 4).alias("relative_rank")
     ).orderBy("platform", F.desc("total_engagement"), "post_id")
@@ -156,7 +158,7 @@ def relative_leaders(posts: DataFrame, p: float = 0.99) -> DataFrame:
     base = rated(with_engagement(posts))
     ranks = value_ranks(base, "total_engagement", ["platform"])
     means = base.groupBy("platform").agg(F.avg("total_engagement").alias("platform_avg"))
-    top = ranks.where(F.col("pct_rank") >= p).join(means, "platform")
+    top = stored(ranks.where(F.col("pct_rank") >= p).join(means, "platform"))
     hit = base.select("post_id", "platform", "total_engagement").join(top, ["platform", "total_engagement"])
     return hit.select(
         "post_id",
@@ -207,8 +209,6 @@ def anomaly_type(posts: DataFrame, limit: int | None = 20) -> DataFrame:
 
 def kpis(users: DataFrame, posts: DataFrame) -> DataFrame:
     """One row of headline figures."""
-    from pulse.operators.ranking import quantiles
-
     per_user = posts.groupBy("user_id").agg(F.count(F.lit(1)).alias("posts_per_user"))
     active = (
         users.join(per_user, "user_id", "left")

@@ -205,7 +205,7 @@ def _score_counts(df: DataFrame, labels: list[str]) -> DataFrame:
         .groupBy("r.label", "r.neg_score")
         .agg(F.sum("r.hit").alias("pos"), F.sum(1 - F.col("r.hit")).alias("neg"))
     )
-    return running_totals(counts, "neg_score", ["pos", "neg"], ["label"])
+    return running_totals(counts, "neg_score", ["pos", "neg"], ["label"], few_groups=True)
 
 
 def roc(df: DataFrame, labels: list[str] = X.LABELS) -> DataFrame:

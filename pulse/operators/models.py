@@ -39,6 +39,7 @@ from pulse.functions.values import sentiment_number
 from pulse.operators import evaluation as V
 from pulse.operators.features import char_grams, vocab_size
 from pulse.operators.splits import assign_folds, halves, stratified_split
+from pulse.session import stored
 
 SCORES = ["accuracy", "macro_f1", "weighted_f1", "macro_precision", "macro_recall"]
 
@@ -194,7 +195,8 @@ def _logistic(c: float, n: int, max_iter: int = 50) -> LogisticRegression:
 def _svm(c: float, n: int, max_iter: int = 30) -> OneVsRest:
     inner = LinearSVC(regParam=1 / (c * n), maxIter=max_iter, standardization=False)
     return OneVsRest(
-        classifier=inner, featuresCol="word_vec", labelCol="label", weightCol="weight", rawPredictionCol="rawPrediction"
+        classifier=inner, featuresCol="word_vec", labelCol="label", weightCol="weight", rawPredictionCol="rawPrediction",
+        parallelism=3,
     )
 
 
@@ -280,7 +282,7 @@ def cross_validate(
 ) -> DataFrame:
     """Scores of every candidate on every fold. The whole pipeline is fitted
     on the training folds only, the vocabulary too."""
-    data = assign_folds(df, "y_true", "id", k, seed).cache()
+    data = stored(assign_folds(df, "y_true", "id", k, seed))
     n = data.count() * (k - 1) // k
     rows = []
     for fold in range(k):
@@ -357,10 +359,9 @@ def calibrate(make: Callable[[], Pipeline], train: DataFrame, test: DataFrame, k
     Margins of rows a model has not seen (``k`` folds) train one sigmoid per
     class; the probabilities are then made to sum to one.
     """
-    data = assign_folds(train, "y_true", "id", k).cache()
-    unseen = _stack(
-        [predict(make().fit(data.where(F.col("fold") != f)), data.where(F.col("fold") == f), labels) for f in range(k)]
-    ).select("y_true", "margins").cache()
+    data = stored(assign_folds(train, "y_true", "id", k))
+    folds = [predict(make().fit(data.where(F.col("fold") != f)), data.where(F.col("fold") == f), labels) for f in range(k)]
+    unseen = stored(_stack(folds).select("y_true", "margins"))
     out = predict(make().fit(train), test, labels)
     curves = []
     for i, name in enumerate(labels):
@@ -423,7 +424,7 @@ def learning_curve(
     from pulse.functions.values import stable_hash
     from pulse.operators.ranking import HASH_BITS
 
-    data = assign_folds(df, "y_true", "id", k, seed).cache()
+    data = stored(assign_folds(df, "y_true", "id", k, seed))
     place = stable_hash("id", seed + 1) / float(1 << HASH_BITS)
     rows = []
     for fraction in fractions:
@@ -463,12 +464,13 @@ def ablate(
     """
     configs = configs or ABLATIONS
     texts = {name: df.withColumn("text", clean_variant("text", **c)) for name, (c, _) in configs.items()}
-    prints = _stack(
+    hashes = _stack(
         [
             corpus_hash(t, "text").select(F.lit(name).alias("model"), "text_hash", vocab_size(t, "text").scalar().alias("vocab_size"))
             for name, t in texts.items()
         ]
-    ).cache()
+    )
+    prints = stored(hashes)
     cleanings = {tuple(sorted(c.items())) for c, _ in configs.values()}
     if prints.select("text_hash").distinct().count() < len(cleanings):
         raise ValueError("two cleaning variants yield identical texts")
@@ -495,7 +497,7 @@ def paired_5x2(first: Callable[[], Pipeline], second: Callable[[], Pipeline], df
     """
     rows = []
     for i in range(5):
-        data = halves(df, "id", seed + i).cache()
+        data = stored(halves(df, "id", seed + i))
         for trained in (0, 1):
             train, test = data.where(F.col("half") == trained), data.where(F.col("half") != trained)
             other = evaluate(predict(second().fit(train), test)).select("macro_f1").scalar()

@@ -83,12 +83,20 @@ def compare_profiles(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def categorical(df: DataFrame, max_values: int = 20) -> DataFrame:
-    """Value counts of the text columns with few distinct values."""
+    """Value counts of the text columns with few distinct values.
+
+    Columns a sketch puts far above the limit are dropped before anything is
+    shuffled; the rest are counted exactly.
+    """
     cols = text_columns(df)
+    sketch = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    cols = [c for c in cols if sketch[c] <= 10 * max_values]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, value string, n long")
     long = df.select(*cols).unpivot([], cols, "column", "value").where(F.col("value").isNotNull())
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     small = counts.groupBy("column").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") <= max_values)
-    return counts.join(small.select("column"), "column", "left_semi")
+    return counts.where(F.array_contains(small.agg(F.collect_list("column")).scalar(), F.col("column")))
 
 
 def _pearson(a: str, b: str) -> Column:

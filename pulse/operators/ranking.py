@@ -29,14 +29,15 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _value_slices(df: DataFrame, order: str, values: list[str], by: list[str]) -> DataFrame:
+def _value_slices(df: DataFrame, order: str, values: list[str], by: list[str], few: bool) -> DataFrame:
     """Add ``_slice`` and the group's totals. Both come from one aggregate, so
     every branch reads the same columns of ``df`` and its shuffle is reused."""
     n = slices(df.sparkSession)
     marks = F.percentile_approx(order, [i / n for i in range(1, n)], F.lit(10 * n)).alias("_cuts")
     facts = [marks, *[F.sum(v).alias(f"{v}_total") for v in values]]
     if by:
-        cut = join_on(df, df.groupBy(*by).agg(*facts), by)
+        groups = df.groupBy(*by).agg(*facts)
+        cut = join_on(df, F.broadcast(groups) if few else groups, by)
     else:
         one = df.agg(*facts).select(F.struct("*")).scalar()
         cut = df.withColumn("_one", one).select("*", "_one.*").drop("_one")
@@ -44,16 +45,19 @@ def _value_slices(df: DataFrame, order: str, values: list[str], by: list[str]) -
 
 
 def running_totals(
-    df: DataFrame, order: str, values: list[str], by: list[str] | None = None
+    df: DataFrame, order: str, values: list[str], by: list[str] | None = None, few_groups: bool = False
 ) -> DataFrame:
     """Add ``{v}_before`` and ``{v}_total``: the sum over smaller ``order``
     values of the group, and over the whole group.
 
+    ``few_groups`` says that the groups are listed in the code, such as column
+    names or class labels, so that one row for each may be broadcast.
+
     ``df`` holds one row for each ``(by, order)``, as after a ``groupBy``, so
     equal values cannot pile up in one slice.
     """
     by = list(by or [])
-    cut = _value_slices(df, order, values, by)
+    cut = _value_slices(df, order, values, by, few_groups)
     keys = [*by, "_slice"]
     sums = cut.groupBy(*keys).agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
     ahead = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -108,7 +112,7 @@ def quantiles(
             F.count("value").alias("n"),
         )
     counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    run = running_totals(counts, "value", ["n"], keys)
+    run = running_totals(counts, "value", ["n"], keys, few_groups=not by)
 
     def at(index: Column) -> Column:
         return F.max(F.when((F.col("n_before") <= index) & (index < F.col("n_before") + F.col("n")), F.col("value")))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pulse.functions import fixed as X
 from pulse.functions.text import squeeze, tokens, word_grams
 from pulse.operators.ranking import top_k
+from pulse.session import stored
 
 
 def aspects(df: DataFrame, terms: list[str] = X.ASPECT_TERMS, sources: list[str] | None = None) -> DataFrame:
@@ -76,7 +77,7 @@ def trending(
     weighs them by frequency. Terms holding a stop-list string are left out.
     Buckets with fewer than ``min_docs`` posts fall back to word counts.
     """
-    sizes = df.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_docs"))
+    sizes = stored(df.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_docs")))
     banned = F.lit(False)
     for s in stoplist:
         banned = banned | F.col("term").contains(s)
@@ -111,17 +112,17 @@ def entities(
 ) -> DataFrame:
     """Mentions of gazetteer entries ``(alias, entity, type)`` per group.
 
-    Equal word runs are counted before the join on the alias, so common
-    words meet the gazetteer once per group and not once per mention.
+    The join on the alias comes before the counting. A gazetteer within
+    Spark's broadcast limit then drops nearly all word runs where they are
+    made; with a larger one the join shuffles and AQE splits common words.
     """
     by = list(by or [])
     runs = df.select(*by, tokens("text").alias("toks"))
     runs = runs.select(*by, F.explode(word_grams("toks", 1, max_words)).alias("alias"))
-    counts = runs.groupBy(*by, "alias").agg(F.count(F.lit(1)).alias("n"))
     names = gazetteer.select(F.lower("alias").alias("alias"), F.lower("entity").alias("entity"), "type").where(
         F.col("type").isin(X.ENTITY_TYPES)
     )
-    found = counts.join(names, "alias").groupBy(*by, "entity", "type").agg(F.sum("n").alias("mentions"))
+    found = runs.join(names, "alias").groupBy(*by, "entity", "type").agg(F.count(F.lit(1)).alias("mentions"))
     if noise is not None:
         found = found.join(noise.select(F.lower("entity").alias("entity")), "entity", "left_anti")
     return found

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan here relies on.
 SETTINGS = {
@@ -59,6 +59,19 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{jvm.java.util.UUID.randomUUID()}"
 
 
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Rows written to the shared folder and read back.
+
+    For rows that several jobs read: they survive a lost executor, are not
+    computed again, and cannot go stale as a cached plan over the same path
+    can. The planner also knows their real size, so a small side is broadcast
+    when it fits Spark's limit and is not when it does not fit.
+    """
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def slices(spark: SparkSession) -> int:
     """How many pieces to cut one group into: follows the shuffle width."""
     return min(256, max(16, int(spark.conf.get("spark.sql.shuffle.partitions"))))
