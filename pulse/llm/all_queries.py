@@ -1,4 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
-from pulse.llm import near_dedup, quality_rules, sharding  # noqa: F401
+from pulse.llm import near_dedup, quality_rules, sharding, token_grammar  # noqa: F401
 from pulse.llm.registry import ORACLES, QUERIES  # noqa: F401
