@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -265,8 +266,6 @@ def identify(df: DataFrame, fitted: tuple[list[str], Pieces, np.ndarray], id_col
     or a model without languages gives ``und`` and 0. Every row is judged by
     its text alone; nothing but id and text is read.
     """
-    import uuid
-
     shared = df.sparkSession.sparkContext.broadcast(fitted)
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     out = src.mapInArrow(_scorer(shared, uuid.uuid4().int), "doc_id long, lang_pred string, score double")
