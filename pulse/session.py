@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,15 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session.
+
+    Python workers get the folder of this package on their path, so that
+    stages that use its functions run wherever the caller was started.
+    """
+    env, home = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
