@@ -19,7 +19,8 @@ WORDS = 5
 SHARE = 75
 BANDS = 36
 BAND_ROWS = 4
-BLOCK = 512
+BLOCK = 2048
+BLOCK_GRAMS = 1 << 20
 
 
 def super_minhash(values: np.ndarray, owner: np.ndarray, n: int, m: int) -> np.ndarray:
@@ -125,8 +126,9 @@ def _near(left_n, right_n, share: int):
 def _settle(share: int):
     """Links of one block of a bucket that join components not yet joined.
 
-    Pairs are looked at in the first band that they share only. The work in a
-    block is bounded by ``BLOCK`` squared, and what leaves it is a forest.
+    Pairs are looked at in the first band that they share only. A block holds
+    about ``BLOCK`` sets of about ``BLOCK_GRAMS`` shingles together at most,
+    and what leaves it is a forest.
     """
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -184,9 +186,8 @@ def near_duplicates(
     * A pair of similarity 0.75 shares one of 36 bands of 4 places but for a
       chance of 1e-6, and a single lost link seldom parts a component.
     * Each bucket's members are first checked against one centre. Buckets
-      that then still hold several components are settled in blocks of about
-      ``BLOCK`` members, pair by pair, but only a forest of links leaves a
-      block. No list of all pairs of a group is ever made and no bucket is
+      that then still hold several components are settled in blocks of bounded
+      size, pair by pair, but only a forest of links leaves a block. No list of all pairs of a group is ever made and no bucket is
       cut short.
     * All links are confirmed on full sets (64-bit hashes of shingles).
     """
@@ -202,8 +203,10 @@ def near_duplicates(
 
     spread = reps.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
     centre = F.min(F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("c"), F.col("n").alias("cn"))).alias("m")
-    crowds = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), centre).where("members > 1")
-    crowds = crowds.select("bucket", "members", "m.c", "m.cn")
+    members, grams = F.count(F.lit(1)).alias("members"), F.sum("n").alias("grams")
+    crowds = spread.groupBy("bucket").agg(members, grams, centre).where("members > 1")
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("grams") / BLOCK_GRAMS)).cast("int")
+    crowds = crowds.select("bucket", "members", blocks.alias("blocks"), "m.c", "m.cn")
     shared = stored(spread.join(crowds, "bucket"), "buckets")
 
     wanted = shared.select("id").distinct()
@@ -219,11 +222,11 @@ def near_duplicates(
 
     label = F.coalesce("v", "id").alias("comp")
     left = shared.where("members > 2").join(first, F.col("id") == F.col("u"), "left")
-    left = stored(left.select("id", "band", "bucket", "members", label), "unsettled")
+    left = stored(left.select("id", "band", "bucket", "blocks", label), "unsettled")
     open_ = left.groupBy("bucket").agg((F.min("comp") != F.max("comp")).alias("open")).where("open").select("bucket")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rest = left.join(open_, "bucket", "left_semi").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    rest = left.join(open_, "bucket", "left_semi").withColumn("block", block)
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rest = rest.withColumns({"bi": F.least("block", "other"), "bj": F.greatest("block", "other")})
     rest = rest.join(sets, "id").join(reps.select("id", "bands"), "id")
     more = rest.groupBy("bucket", "band", "bi", "bj").applyInPandas(_settle(share), "a long, b long")
