@@ -1,4 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
-from pulse.llm import language_id, near_dedup, quality_rules, sharding, token_grammar, toxicity  # noqa: F401
+from pulse.llm import decontamination, language_id, near_dedup, quality_rules, sharding, token_grammar, toxicity  # noqa: F401
 from pulse.llm.registry import ORACLES, QUERIES  # noqa: F401
