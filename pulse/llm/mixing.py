@@ -5,21 +5,20 @@ DataFrame expressions and aggregates only.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm.evidence import BINS, log_evidence, log_likelihoods, with_features
+from pulse.llm.evidence import BINS, MARKER_CUTS, bare, let, log_evidence, log_likelihoods, text_bins, words_of
 from pulse.llm.registry import query, read
 from pulse.session import stored
 
 SAMPLE_ROWS = 20_000
 MARKERS = 48
 MARKER_DOCS = 5
-MARKER_CUTS = [0.5, 1.5, 2.5, 4.5, 8.5]
-ENDS = ".,;:!?\"'()"
 STEPS = 30
 CLOSE = 1e-6
 
@@ -33,10 +32,8 @@ class Domains:
     logs: dict = field(default_factory=dict)
     shares: dict[str, float] = field(default_factory=dict)
 
-
-def _bare(words: str) -> Column:
-    """Words in lower case without the punctuation around them."""
-    return F.transform(words, lambda w: F.lower(F.btrim(w, F.lit(ENDS))))
+    def bins(self, text: str) -> Column:
+        return text_bins(text, [self.markers[d] for d in self.names])
 
 
 def marker_words(texts: DataFrame, names: list[str]) -> dict[str, list[str]]:
@@ -47,7 +44,7 @@ def marker_words(texts: DataFrame, names: list[str]) -> dict[str, list[str]]:
     odds against the other domains.
     """
     sizes = {r.domain: r.n for r in texts.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    seen = texts.select("domain", F.explode(F.array_distinct(_bare("_words"))).alias("w")).where("w <> ''")
+    seen = texts.select("domain", F.explode(F.array_distinct(bare(F.col("_words")))).alias("w")).where("w <> ''")
     counts = seen.groupBy("w").agg(*[F.count_if(F.col("domain") == d).alias(f"c{k}") for k, d in enumerate(names)])
     counts = stored(counts.where(" + ".join(f"c{k}" for k in range(len(names))) + f" >= {MARKER_DOCS}"), "markers")
     whole, out = sum(sizes.values()), {}
@@ -60,23 +57,6 @@ def marker_words(texts: DataFrame, names: list[str]) -> dict[str, list[str]]:
     return out
 
 
-def _among(words: str, listed: list[str]) -> Column:
-    """How many of the words are listed."""
-    return F.size(F.filter(words, lambda w: w.isin(listed))) if listed else F.lit(0)
-
-
-def _features(df: DataFrame, text: str, domains: Domains) -> DataFrame:
-    """Bins of the text and of its number of marker words of each domain."""
-    rows = with_features(df, text, words="_words").withColumn("_words", _bare("_words"))
-    for k, d in enumerate(domains.names):
-        n = _among("_words", domains.markers[d])
-        hits = F.lit(0)
-        for cut in MARKER_CUTS:
-            hits = hits + (F.col("_n_hits") > cut).cast("int")
-        rows = rows.withColumn("_n_hits", n).withColumn(f"_f_m{k}", hits).drop("_n_hits")
-    return rows.drop("_words")
-
-
 def learn_domains(
     df: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS
 ) -> Domains:
@@ -90,12 +70,12 @@ def learn_domains(
     known = stored(known.orderBy(F.xxhash64(id_col, F.lit("mix")), id_col).limit(sample_rows), "sample")
     names = [r.domain for r in known.select("domain").distinct().orderBy("domain").collect()]
     texts = df.select(id_col, text).join(F.broadcast(known), id_col)
-    words = with_features(texts, text, words="_words")
-    domains = Domains(names, marker_words(words.select("domain", "_words"), names) if names else {})
+    words = texts.select("domain", words_of(F.coalesce(F.col(text), F.lit(""))).alias("_words"))
+    domains = Domains(names, marker_words(words, names) if names else {})
     if names:
-        columns = {f"_f_{k}": len(v) + 1 for k, v in BINS.items()}
-        columns |= {f"_f_m{k}": len(MARKER_CUTS) + 1 for k in range(len(names))}
-        rows = stored(_features(texts, text, domains).drop(text), "mixing-sample")
+        columns = {k: len(v) + 1 for k, v in BINS.items()}
+        columns |= {f"m{k}": len(MARKER_CUTS) + 1 for k in range(len(names))}
+        rows = stored(texts.select("domain", domains.bins(text).alias("_f")), "mixing-sample")
         domains.logs, domains.shares = log_likelihoods(rows, "domain", names, columns)
     return domains
 
@@ -103,14 +83,15 @@ def learn_domains(
 def with_posteriors(df: DataFrame, domains: Domains, text: str = "text") -> DataFrame:
     """Add ``_t`` (words of the text, its tokens here) and ``_p``, the
     posterior of each domain in the order of their names."""
-    rest = df.columns
-    rows = _features(df, text, domains)
-    logs = F.array(*[log_evidence(domains.logs, d) + F.log(F.lit(domains.shares[d])) for d in domains.names])
-    rows = rows.select(*rest, F.col("_f_n").alias("_t"), logs.alias("_l")).withColumn("_top", F.array_max("_l"))
-    rows = rows.withColumn("_e", F.transform("_l", lambda x: F.exp(x - F.col("_top"))))
-    total = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
-    rows = rows.withColumn("_s", total)
-    return rows.select(*rest, "_t", F.transform("_e", lambda x: x / F.col("_s")).alias("_p"))
+
+    def posteriors(f: Column) -> Column:
+        logs = F.array(*[log_evidence(f, domains.logs, d) + math.log(domains.shares[d]) for d in domains.names])
+        total = lambda e: F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
+        parts = let(logs, lambda x: let(F.array_max(x), lambda top: F.transform(x, lambda v: F.exp(v - top))))
+        return let(parts, lambda e: let(total(e), lambda s: F.transform(e, lambda x: x / s)))
+
+    found = let(domains.bins(text), lambda f: F.struct(f["n"].alias("t"), posteriors(f).alias("p")))
+    return df.withColumn("_m", found).select(*df.columns, F.col("_m.t").alias("_t"), F.col("_m.p").alias("_p"))
 
 
 @dataclass
@@ -120,26 +101,33 @@ class Rates:
     start: float
     steps: list[list[float]]
     totals: dict[str, float]
+    cap: float | None = None
 
     def column(self, p: str = "_p") -> Column:
         moves = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in self.steps]) if self.steps else None
         if moves is None:
             return F.lit(self.start)
 
-        def dot(s: Column) -> Column:
-            return F.aggregate(F.zip_with(s, F.col(p), lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+        def dot(s: Column, q: Column) -> Column:
+            return F.aggregate(F.zip_with(s, q, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+
+        def inside(x: Column) -> Column:
+            least = F.greatest(F.lit(0.0), x)
+            return least if self.cap is None else F.least(F.lit(self.cap), least)
 
-        return F.aggregate(moves, F.lit(self.start), lambda x, s: F.greatest(F.lit(0.0), x + dot(s)))
+        return let(F.col(p), lambda q: F.aggregate(moves, F.lit(self.start), lambda x, s: inside(x + dot(s, q))))
 
 
-def fit_rates(rows: DataFrame, names: list[str], targets: dict[str, float], budget: float | None = None, steps: int = STEPS) -> Rates:
+def fit_rates(
+    rows: DataFrame, names: list[str], targets: dict[str, float], budget: float | None = None, cap: float | None = None, steps: int = STEPS
+) -> Rates:
     """Nonnegative rates ``x`` of the documents so that the expected tokens of
     each domain, ``sum x * t * p``, match ``budget`` times its target share.
 
     Projected gradient for least squares: the gradient of a document is its
     posteriors times the residual of the domains, weighed with the inverse of
-    their second moments, and a rate below zero becomes zero. Without that
-    projection the first step is exact, with it a few more follow. A step is
+    their second moments, and a rate below zero becomes zero, one above
+    ``cap`` becomes ``cap``. Without that projection the first step is exact, with it a few more follow. A step is
     one aggregate over all documents, of which the driver sees one number per
     domain; a rate is a function of a document's posteriors and the steps.
     """
@@ -159,7 +147,8 @@ def fit_rates(rows: DataFrame, names: list[str], targets: dict[str, float], budg
     share = share / share.sum() if share.sum() else np.full(k, 1.0 / k)
     want = share * (whole if budget is None else budget)
     inverse = np.linalg.pinv(gram + 1e-9 * np.trace(gram) * np.eye(k))
-    rates = Rates(float(want.sum() / whole), [], dict(zip(names, row[at:], strict=True)))
+    start = float(want.sum() / whole)
+    rates = Rates(start if cap is None else min(start, cap), [], dict(zip(names, row[at:], strict=True)), cap)
     for _ in range(steps):
         x = rates.column()
         got = rows.agg(*[F.sum(x * F.col("_t") * p[i]) for i in range(k)]).first()
@@ -174,7 +163,7 @@ def copies(rate: Column, *key: str, seed: int = 7) -> Column:
     """A whole number whose mean over documents is the rate: the part after
     the point is drawn by a hash of ``key``."""
     draw = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1 << 30)) / (1 << 30)
-    return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("int")
+    return let(rate, lambda x: (F.floor(x) + (draw < x - F.floor(x)).cast("long")).cast("int"))
 
 
 def mix(
@@ -202,7 +191,7 @@ def mix(
     rows = df.select(*rest, text)
     if not domains.names:
         none = F.lit(None).cast("map<string,double>")
-        rows = with_features(rows, text).withColumns({"tokens": F.col("_f_n"), "posteriors": none, "rate": F.lit(1.0), "copies": F.lit(1)})
+        rows = rows.withColumns({"tokens": text_bins(text)["n"], "posteriors": none, "rate": F.lit(1.0), "copies": F.lit(1)})
         return rows.select(*rest, *made)
     rows = stored(with_posteriors(rows, domains, text).drop(text), "posteriors")
     rates = fit_rates(rows, domains.names, targets, budget)
@@ -211,6 +200,38 @@ def mix(
     return rows.withColumn("copies", copies(F.col("rate"), id_col)).select(*rest, *made)
 
 
+def mix_rows(
+    df: DataFrame,
+    labelled: DataFrame,
+    targets: dict[str, float],
+    id_col: str = "doc_id",
+    text: str = "text",
+    whole: str | None = None,
+) -> DataFrame:
+    """The rows of ``df``, each as often as its ``copies`` say.
+
+    With ``whole``, the budget is what that domain's own tokens allow and no
+    rate exceeds one: nothing is repeated, its documents stay at a rate of
+    about one, and the other domains are thinned to their share. Rates are fitted on ids, tokens and
+    posteriors; the texts are judged again where they are read, so they are
+    not shuffled.
+    """
+    domains = learn_domains(df, labelled, id_col, text)
+    if not domains.names:
+        return df
+    slim = stored(with_posteriors(df.select(id_col, text), domains, text).drop(text), "posteriors")
+    budget = None
+    if whole in domains.names and targets.get(whole):
+        own = F.get("_p", F.lit(domains.names.index(whole)))
+        share = targets[whole] / sum(targets.get(d, 0.0) for d in domains.names)
+        budget = (slim.agg(F.sum(F.col("_t") * own)).first()[0] or 0.0) / share
+    rates = fit_rates(slim, domains.names, targets, budget, None if whole is None else 1.0)
+    rows = with_posteriors(df, domains, text).withColumn("_copies", copies(rates.column(), id_col))
+    if whole is None:
+        return rows.where("_copies > 0").withColumn("_copies", F.explode(F.sequence(F.lit(1), "_copies"))).select(*df.columns)
+    return rows.where("_copies > 0").select(*df.columns)
+
+
 def label_domains(labels: DataFrame) -> DataFrame:
     """Domains of the labelled table: ``low`` quality, ``toxic``, else ``clean``."""
     kind = F.when(F.col("quality") == 0, "low").when(F.col("toxic") == 1, "toxic")

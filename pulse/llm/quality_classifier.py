@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.llm.common import SMALL_BYTES
-from pulse.llm.evidence import BINS, log_evidence, log_likelihoods, with_features
+from pulse.llm.evidence import BINS, let, log_evidence, log_likelihoods, text_bins
 from pulse.llm.registry import query, read
 from pulse.session import stored
 
@@ -26,12 +26,13 @@ class Fit:
     sites: DataFrame
 
 
-def _logit(p: Column) -> Column:
-    return F.log(p / (1 - p))
+def _evidence(logs: dict) -> Column:
+    """Log odds of the bins in ``_f``; a text without words has none."""
 
+    def odds(f: Column) -> Column:
+        return F.when(f["n"] > 0, log_evidence(f, logs, "good") - log_evidence(f, logs, "bad")).otherwise(0.0)
 
-def _evidence(logs: dict) -> Column:
-    return F.when(F.col("_f_n") > 0, log_evidence(logs, "good") - log_evidence(logs, "bad")).otherwise(0.0)
+    return let(F.col("_f"), odds)
 
 
 def _strength(groups: DataFrame, share: float) -> float:
@@ -60,14 +61,14 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str, text: str, host: str, pat
     partial in each task, so a host with a third of all rows does no harm.
     """
     cols = [F.col(id_col).alias("_id"), F.col(host).alias("_host"), F.col(path).alias("_path"), F.col(text).alias("_text")]
-    bins = with_features(df.select(*cols), "_text").drop("_text")
+    bins = df.select(*cols).withColumn("_f", text_bins("_text")).drop("_text")
     known = labels.where(F.col(quality).isNotNull() & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.min(quality).cast("int").alias("_good"))
     rows = stored(bins.join(known, "_id", "left"), "quality")
 
     label = F.when(F.col("_good") == 1, "good").otherwise("bad").alias("d")
-    labelled = rows.where("_good IS NOT NULL AND _f_n > 0")
-    logs, shares = log_likelihoods(labelled.select("*", label), "d", ["good", "bad"], {f"_f_{k}": len(v) + 1 for k, v in BINS.items()})
+    labelled = rows.where("_good IS NOT NULL AND _f.n > 0")
+    logs, shares = log_likelihoods(labelled.select("*", label), "d", ["good", "bad"], {k: len(v) + 1 for k, v in BINS.items()})
     share = shares["good"]
 
     odds = F.log(F.lit(share / (1 - share)))
@@ -93,7 +94,7 @@ def judge(df: DataFrame, fitted: Fit, text: str, host: str, path: str, threshold
     """
     made = ["evidence", "host_rate", "path_rate", "score", "kept"]
     rest = [c for c in df.columns if c not in made]
-    rows = with_features(df.select(*rest), text)
+    rows = df.select(*rest).withColumn("_f", text_bins(text))
     rows = rows.select(*rest, _evidence(fitted.logs).alias("evidence"))
     sites = fitted.sites.withColumnsRenamed({"_host": "_h", "_path": "_p"})
     if sites.count() * 64 <= SMALL_BYTES:
@@ -101,7 +102,7 @@ def judge(df: DataFrame, fitted: Fit, text: str, host: str, path: str, threshold
     on = F.col(host).eqNullSafe(F.col("_h")) & F.col(path).eqNullSafe(F.col("_p"))
     joined = rows.join(sites, on, "left").drop("_h", "_p")
     prior = F.least(F.greatest(F.coalesce("path_rate", F.lit(fitted.share)), F.lit(1e-4)), F.lit(1 - 1e-4))
-    score = 1 / (1 + F.exp(-(F.col("evidence") + _logit(prior))))
+    score = 1 / (1 + F.exp(-(F.col("evidence") + let(prior, lambda p: F.log(p / (1 - p))))))
     return joined.withColumn("score", score).withColumn("kept", F.col("score") >= threshold).select(*rest, *made)
 
 
@@ -122,7 +123,7 @@ def classify(
     labels of an id the smallest counts; NULL labels and ids are not learnt
     from. A text without words has no evidence and gets its site's share as
     score. NULL hosts and paths form a site of their own. Without labels
-    every score is one half and all rows are kept. Input columns with an
+    every evidence is 0, every score one half, and all rows are kept. Input columns with an
     output's name are replaced; repeated rows are judged alike; an empty
     table gives no rows.
     """
