@@ -108,13 +108,21 @@ def _frequent(code: np.ndarray, known: np.ndarray, room: int) -> np.ndarray:
     return pairs[np.lexsort((pairs, -count))[:room]]
 
 
+def _every_second(places: np.ndarray) -> np.ndarray:
+    """Of each run of neighbouring places the second, the fourth, and so on."""
+    group = places - np.arange(len(places))
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    inside = np.arange(len(places)) - np.repeat(first, np.diff(np.append(first, len(places))))
+    return places[inside % 2 == 1]
+
+
 def compress(ids: np.ndarray, last: np.ndarray, base: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair in rounds: ``(symbols, last, rules)``, a rule being a pair of
     symbols of ``width`` bytes each.
 
     Each round gives a nonterminal to the most frequent adjacent pairs and
-    replaces their occurrences; where two overlap, the earlier rule wins and
-    the other waits for the next round. A pair never reaches past the end of
+    replaces their occurrences, from the left in a run of one symbol; where
+    two pairs overlap, the earlier rule wins, the other waits for a round. A pair never reaches past the end of
     a document (``last``).
     """
     kind = np.uint32 if width == 2 else np.uint64
@@ -133,8 +141,11 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int, width: int) -> tuple[
         rank = slots[place(code)]
         rank[(rules[rank] != code) | ~inner] = len(rules)
         free = rank < len(rules)
+        same = np.flatnonzero(free[1:] & (rank[1:] == rank[:-1])) + 1
+        last_in_line = rank <= np.append(rank[1:], len(rules))
         free[1:] &= rank[1:] < rank[:-1]
-        free[:-1] &= rank[:-1] <= rank[1:]
+        free[_every_second(same)] = True
+        free &= last_in_line
         hit = np.flatnonzero(free)
         if not len(hit):
             break
