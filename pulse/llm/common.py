@@ -21,6 +21,14 @@ def fold(id_col: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def packed(df: DataFrame, without: list[str], **named: str | Column) -> DataFrame:
+    """The columns of ``df`` but those in ``without`` as one struct ``_in``, and
+    ``named`` columns beside it: no input name can meet one made later."""
+    rest = [F.col(c) for c in df.columns if c not in without]
+    cols = [(F.col(c) if isinstance(c, str) else c).alias(k) for k, c in named.items()]
+    return df.select(F.struct(*rest).alias("_in"), *cols)
+
+
 def with_small_side(df: DataFrame, side: DataFrame, key: str, row_bytes: int, how: str = "inner") -> DataFrame:
     """``df`` joined to ``side``; a side counted to be at most ``SMALL_BYTES``
     is broadcast, which spares a shuffle of texts, a larger one is not."""

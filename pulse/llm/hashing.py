@@ -22,14 +22,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values() -> np.ndarray:
-    """A random number for each byte; A-Z share those of a-z."""
-    v = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
-    v[65:91] = v[97:123]
-    return v
-
-
-BYTE_VALUES = _byte_values()
+# A random number for each byte, and the same with A-Z as a-z.
+BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
+FOLDED_VALUES = BYTE_VALUES.copy()
+FOLDED_VALUES[65:91] = FOLDED_VALUES[97:123]
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x5851F42D4C957F2D
@@ -72,7 +68,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         start, stop = turn[::2], turn[1::2]
         power, back = _power_tables(len(part) + 1)
         total = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[part] * power[: len(part)], out=total[1:])
+        np.cumsum(FOLDED_VALUES[part] * power[: len(part)], out=total[1:])
         h = (total[stop] - total[start]) * back[start]
         hashes.append(mix(h + (stop - start).astype(np.uint64) * GOLDEN))
         places.append(start + lo)

@@ -12,6 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.llm.common import packed
 from pulse.llm.evidence import BINS, MARKER_CUTS, bare, let, log_evidence, log_likelihoods, text_bins, words_of
 from pulse.llm.registry import query, read
 from pulse.session import stored
@@ -186,18 +187,17 @@ def mix(
     replaced; an empty table gives no rows.
     """
     made = ["tokens", "posteriors", "rate", "copies"]
-    rest = [c for c in df.columns if c not in [*made, text]]
     domains = learn_domains(df, labelled, id_col, text)
-    rows = df.select(*rest, text)
+    rows = packed(df, [*made, text], _id=id_col, _text=text)
     if not domains.names:
         none = F.lit(None).cast("map<string,double>")
-        rows = rows.withColumns({"tokens": text_bins(text)["n"], "posteriors": none, "rate": F.lit(1.0), "copies": F.lit(1)})
-        return rows.select(*rest, *made)
-    rows = stored(with_posteriors(rows, domains, text).drop(text), "posteriors")
+        rows = rows.withColumns({"tokens": text_bins("_text")["n"], "posteriors": none, "rate": F.lit(1.0), "copies": F.lit(1)})
+        return rows.select("_in.*", *made)
+    rows = stored(with_posteriors(rows, domains, "_text").drop("_text"), "posteriors")
     rates = fit_rates(rows, domains.names, targets, budget)
     names = F.array(*[F.lit(d) for d in domains.names])
     rows = rows.withColumns({"tokens": F.col("_t"), "posteriors": F.map_from_arrays(names, F.col("_p")), "rate": rates.column()})
-    return rows.withColumn("copies", copies(F.col("rate"), id_col)).select(*rest, *made)
+    return rows.withColumn("copies", copies(F.col("rate"), "_id")).select("_in.*", *made)
 
 
 def mix_rows(
@@ -226,10 +226,11 @@ def mix_rows(
         share = targets[whole] / sum(targets.get(d, 0.0) for d in domains.names)
         budget = (slim.agg(F.sum(F.col("_t") * own)).first()[0] or 0.0) / share
     rates = fit_rates(slim, domains.names, targets, budget, None if whole is None else 1.0)
-    rows = with_posteriors(df, domains, text).withColumn("_copies", copies(rates.column(), id_col))
+    rows = with_posteriors(packed(df, [], _id=id_col, _text=text), domains, "_text")
+    rows = rows.withColumn("_copies", copies(rates.column(), "_id")).where("_copies > 0")
     if whole is None:
-        return rows.where("_copies > 0").withColumn("_copies", F.explode(F.sequence(F.lit(1), "_copies"))).select(*df.columns)
-    return rows.where("_copies > 0").select(*df.columns)
+        rows = rows.withColumn("_copies", F.explode(F.sequence(F.lit(1), "_copies")))
+    return rows.select("_in.*")
 
 
 def label_domains(labels: DataFrame) -> DataFrame:

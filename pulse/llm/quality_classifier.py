@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm.common import SMALL_BYTES
+from pulse.llm.common import SMALL_BYTES, packed
 from pulse.llm.evidence import BINS, let, log_evidence, log_likelihoods, text_bins
 from pulse.llm.registry import query, read
 from pulse.session import stored
@@ -93,17 +93,16 @@ def judge(df: DataFrame, fitted: Fit, text: str, host: str, path: str, threshold
     a shuffle on host and path, in which Spark splits a hot host.
     """
     made = ["evidence", "host_rate", "path_rate", "score", "kept"]
-    rest = [c for c in df.columns if c not in made]
-    rows = df.select(*rest).withColumn("_f", text_bins(text))
-    rows = rows.select(*rest, _evidence(fitted.logs).alias("evidence"))
+    rows = packed(df, made, _f=text_bins(text), _host=host, _path=path)
+    rows = rows.select("_in", "_host", "_path", _evidence(fitted.logs).alias("evidence"))
     sites = fitted.sites.withColumnsRenamed({"_host": "_h", "_path": "_p"})
     if sites.count() * 64 <= SMALL_BYTES:
         sites = F.broadcast(sites)
-    on = F.col(host).eqNullSafe(F.col("_h")) & F.col(path).eqNullSafe(F.col("_p"))
+    on = F.col("_host").eqNullSafe(F.col("_h")) & F.col("_path").eqNullSafe(F.col("_p"))
     joined = rows.join(sites, on, "left").drop("_h", "_p")
     prior = F.least(F.greatest(F.coalesce("path_rate", F.lit(fitted.share)), F.lit(1e-4)), F.lit(1 - 1e-4))
     score = 1 / (1 + F.exp(-(F.col("evidence") + let(prior, lambda p: F.log(p / (1 - p))))))
-    return joined.withColumn("score", score).withColumn("kept", F.col("score") >= threshold).select(*rest, *made)
+    return joined.withColumn("score", score).withColumn("kept", F.col("score") >= threshold).select("_in.*", *made)
 
 
 def classify(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pulse.llm.common import packed
 from pulse.llm.registry import query, read
 
 SLICE_BITS = 12
@@ -87,14 +88,15 @@ def shard_rows(
     of their own. Input columns with an output's name are replaced. An empty
     table gives no rows.
     """
-    df = df.drop("law", "shard", "slot", "grown_shard")
-    numbered = number_rows(df, id_col, ties or [])
+    made = ["law", "shard", "slot", "grown_shard"]
+    keys = {f"_tie{k}": c for k, c in enumerate(ties or [])}
+    numbered = number_rows(packed(df, made, _id=id_col, **keys), "_id", list(keys))
     first, place = permute(F.col("_row"), F.col("_rows"), seed)
     return (
         numbered.withColumn("_first", first)
         .withColumn("_p", place)
         .select(
-            *df.columns,
+            "_in.*",
             F.lit("rows").alias("law"),
             F.pmod("_p", F.lit(shards)).cast("int").alias("shard"),
             F.floor(F.col("_p") / shards).cast("long").alias("slot"),

@@ -27,8 +27,8 @@ SLOT_BITS = 20
 CACHE_WORDS = 1_000_000
 
 # A run of Latin letters that neither composition nor lower-casing splits,
-# then punctuation: the shape whose pieces the tokenizer cuts apart.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
+# then ASCII signs: the shape whose two pieces the tokenizer cuts apart.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\[-`{-~]*)")
 
 FORMAT = (
     "part int, block int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, doc_symbols array<long>, "

@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.llm.common import packed
 from pulse.llm.registry import query, read
 from pulse.session import stored
 
@@ -144,18 +145,17 @@ def filter_urls(
     are judged alike; an empty table gives no rows.
     """
     made = ["host", "path", "rule", "score", "verdict"]
-    rest = [c for c in df.columns if c not in [*made, *FEATURES]]
     model, suffixes = train(labelled, url, label)
-    rows = with_parts(df.select(*rest), url)
+    rows = with_parts(packed(df, made, _url=url), "_url")
     if model is None:
         rows = rows.withColumn("score", F.lit(0.0))
     else:
-        judged = model.transform(_vectors(with_features(rows, url, suffixes)))
+        judged = model.transform(_vectors(with_features(rows, "_url", suffixes)))
         chance = F.get(vector_to_array("probability"), F.lit(1))
         rows = judged.withColumn("score", F.when(F.col("host") == "", 0.0).otherwise(chance))
     rule, said = rule_of(F.col("host"), F.col("path"), rules)
     by_score = F.when(F.col("score") >= block_from, "block").otherwise("allow")
-    return rows.withColumn("rule", rule).withColumn("verdict", F.coalesce(said, by_score)).select(*rest, *made)
+    return rows.withColumn("rule", rule).withColumn("verdict", F.coalesce(said, by_score)).select("_in.*", *made)
 
 
 def label_urls(df: DataFrame, url: str = "url", terms: list[str] | None = None) -> DataFrame:
