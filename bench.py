@@ -13,7 +13,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pulse.plans.all_queries import QUERIES  # noqa: E402
-from pulse.session import local_session  # noqa: E402
+from pulse.session import drop_intermediates, local_session  # noqa: E402
 
 HEADLINE = [
     "platform_averages", "location_engagement", "top_five_percent", "relative_leaders", "monthly_growth",
@@ -21,7 +21,7 @@ HEADLINE = [
     "negation_scope", "daily_spikes", "hourly_spikes", "daily_shifts", "nearest_trigger", "event_hypotheses",
     "aspect_sentiment", "trending_terms", "weekly_entities", "profile_report", "correlation_matrix",
     "outlier_summary", "leaked_ids", "near_duplicate_sets", "split_80_20", "overall_metrics", "ranking_scores",
-    "threshold_sweep", "tfidf", "stream_daily_activity",
+    "threshold_sweep", "tfidf", "stream_daily_activity", "model_comparison",
 ]
 
 
@@ -35,6 +35,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        drop_intermediates(spark)
     print(
         json.dumps(
             {

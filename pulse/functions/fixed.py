@@ -145,3 +145,9 @@ PHASES = [
     ("T+1 (Shock Phase: Jan 2021)", "2021-01-01", "2021-02-01", False),
     ("T+2 (Fallout Phase: Feb-Jul 2021)", "2021-02-01", "2021-07-31", True),
 ]
+
+# -- fixed values: evaluation protocol (split seeds, training shares, randomised search)
+SEEDS = [0, 7, 13, 21, 42, 99, 123, 256, 314, 999]
+TRAINING_SHARES = [0.1, 0.325, 0.55, 0.775, 1.0]
+SEARCH_RANGE = (0.01, 10.0)
+SEARCH_DRAWS = 40

@@ -192,6 +192,10 @@ def impute_median(df: DataFrame, cols: list[str], approx: bool = False, text: bo
     With ``text`` the columns stay strings and only NULL cells are filled, so
     text that is no number survives for a later step to judge.
     """
+    return df.withColumns(_median_fills(df, cols, approx, text))
+
+
+def _median_fills(df: DataFrame, cols: list[str], approx: bool = False, text: bool = False) -> dict[str, Column]:
     numbers = df.select(*[to_double(F.col(c).cast("string")).alias(c) for c in cols])
     found = quantiles(numbers, cols, {"median": 0.5}, approx=approx)
     lookup = found.agg(F.map_from_entries(F.collect_list(F.struct("column", "median")))).scalar()
@@ -202,7 +206,7 @@ def impute_median(df: DataFrame, cols: list[str], approx: bool = False, text: bo
             return F.coalesce(F.col(c), median.cast("string"))
         return F.coalesce(to_double(F.col(c).cast("string")), median)
 
-    return df.withColumns({c: fill(c) for c in cols})
+    return {c: fill(c) for c in cols}
 
 
 def mode_of(df: DataFrame, c: str) -> DataFrame:
@@ -215,19 +219,26 @@ def mode_of(df: DataFrame, c: str) -> DataFrame:
 
 def impute_mode(df: DataFrame, c: str, min_share: float = X.MODE_MIN_SHARE) -> DataFrame:
     """NULLs become the mode when it is common enough; always flagged."""
+    return flag_nulls(df, [c]).withColumn(c, _mode_fill(df, c, min_share))
+
+
+def _mode_fill(df: DataFrame, c: str, min_share: float = X.MODE_MIN_SHARE) -> Column:
     best = mode_of(df, c).select(F.struct("mode_value", "mode_share")).scalar()
-    fill = F.when(best["mode_share"] >= min_share, best["mode_value"])
-    return flag_nulls(df, [c]).withColumn(c, F.coalesce(F.col(c), fill))
+    return F.coalesce(F.col(c), F.when(best["mode_share"] >= min_share, best["mode_value"]))
 
 
 def handle_missing(df: DataFrame, config: dict[str, str] | None = None) -> DataFrame:
     """Per-column strategy: ``drop``, ``flag``, ``median`` or ``mode``.
 
     Columns without a strategy get the median when they are numeric, else the
-    mode. One aggregate row tells which columns have NULLs and are numeric.
+    mode. One aggregate row tells which columns are numeric and which have
+    NULLs; medians and modes come from all rows, before any is dropped, and
+    are computed only where there is something to fill. The columns that come
+    out do not depend on that: a column with ``flag`` or ``mode`` always has
+    its flag, a numeric column with ``median`` is always a double.
     """
     config = config or {}
-    cols = df.columns
+    cols, text = df.columns, set(_text_columns(df))
     profile = df.agg(
         *[F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(cols)],
         *[
@@ -235,19 +246,19 @@ def handle_missing(df: DataFrame, config: dict[str, str] | None = None) -> DataF
             for i, c in enumerate(cols)
         ],
     ).first()
-    for i, c in enumerate(cols):
-        if not profile[f"null_{i}"]:
-            continue
-        strategy = config.get(c)
-        if strategy == "drop":
-            df = df.dropna(subset=[c])
-        elif strategy == "flag":
-            df = flag_nulls(df, [c])
-        elif strategy == "median" or (strategy is None and profile[f"share_{i}"] > X.NUMERIC_MIN_SHARE):
-            df = impute_median(df, [c], text=c in _text_columns(df))
-        else:
-            df = impute_mode(df, c)
-    return df
+    holes = {c: profile[f"null_{i}"] for i, c in enumerate(cols)}
+    numeric = {c: profile[f"share_{i}"] > X.NUMERIC_MIN_SHARE for i, c in enumerate(cols)}
+    plan = {c: config.get(c, "median" if numeric[c] else "mode") for c in cols}
+    named = lambda kind: [c for c in cols if plan[c] == kind]
+
+    out = flag_nulls(df, [c for c in cols if plan[c] in ("flag", "mode")])
+    out = out.withColumns({c: to_double(F.col(c).cast("string")) for c in named("median") if c not in text and not holes[c]})
+    for kind in (True, False):
+        filled = [c for c in named("median") if holes[c] and (c in text) == kind]
+        if filled:
+            out = out.withColumns(_median_fills(df, filled, text=kind))
+    out = out.withColumns({c: _mode_fill(df, c) for c in named("mode") if holes[c]})
+    return out.dropna(subset=named("drop")) if named("drop") else out
 
 
 # -- duplicates and reports ------------------------------------------------------
@@ -281,14 +292,16 @@ def missing_report(df: DataFrame) -> DataFrame:
 def text_audit(df: DataFrame, c: str = "post_text") -> DataFrame:
     """One row: raw, missing, empty, duplicate and clean row counts.
 
-    Texts are counted by distinct value first, so copies cost nothing more.
+    Texts are counted by a digest first, so no text is moved and copies cost
+    nothing more.
     """
-    groups = df.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-    blank = strip(c) == ""
-    kept = F.col(c).isNotNull() & ~blank
+    digest = F.sha2(F.col(c), 256).alias("_digest")
+    groups = df.select(digest, (strip(c) == "").alias("_blank")).groupBy("_digest", "_blank").agg(F.count(F.lit(1)).alias("n"))
+    blank, missing = F.col("_blank"), F.col("_digest").isNull()
+    kept = ~missing & ~blank
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("raw_rows"),
-        F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("n"))), F.lit(0)).alias("missing_text_rows"),
+        F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("missing_text_rows"),
         F.coalesce(F.sum(F.when(blank, F.col("n"))), F.lit(0)).alias("empty_text_rows"),
         F.coalesce(F.sum(F.when(kept, F.col("n") - 1)), F.lit(0)).alias("duplicate_rows_removed"),
         F.count_if(kept).alias("clean_rows"),

@@ -62,16 +62,18 @@ def within_interval(
     """The ``k`` newest items within ``hours`` of each event, ranked.
 
     Events are spread over the days their interval touches, so the join is
-    an equi-join on the day. Only ``k`` rows per event leave a task.
+    an equi-join on the day. Every event has a list of its own, also events
+    that share a time. Only ``k`` rows per event leave a task.
     """
     days = -(-hours // 24)
+    events = events.withColumn("_event", F.monotonically_increasing_id())
     spread = events.withColumn("_off", F.explode(F.sequence(F.lit(-days), F.lit(days)))).withColumn(
         "_day", F.date_add(F.to_date(event_ts), F.col("_off"))
     )
     near = items.withColumn("_day", F.to_date(item_ts)).join(spread.drop("_off"), "_day")
     span = F.expr(f"INTERVAL {hours} HOURS")
     near = near.where(F.col(item_ts).between(F.col(event_ts) - span, F.col(event_ts) + span)).drop("_day")
-    return top_k(near, [F.desc(item_ts), F.col(item_id)], k, [event_ts])
+    return top_k(near, [F.desc(item_ts), F.col(item_id)], k, ["_event"]).drop("_event")
 
 
 def hypotheses(events: DataFrame) -> DataFrame:

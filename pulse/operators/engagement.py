@@ -142,12 +142,19 @@ def above_group_average(posts: DataFrame, factor: float = 2.0) -> DataFrame:
     ).orderBy("platform", F.desc("total_engagement"), "post_id")
 
 
+def _at_least(posts: DataFrame, top: DataFrame) -> DataFrame:
+    """Posts not below the smallest value listed for their platform. The rank
+    grows with the value, so the rest cannot match and need not be moved."""
+    lowest = top.groupBy("platform").agg(F.min("total_engagement").alias("lowest"))
+    return posts.join(lowest, "platform").where(F.col("total_engagement") >= F.col("lowest")).drop("lowest")
+
+
 def top_percentile(posts: DataFrame, p: float = 0.95) -> DataFrame:
     """Posts in the top share of their platform, by percent rank."""
     base = rated(with_engagement(posts))
     top = value_ranks(base, "total_engagement", ["platform"]).where(F.col("pct_rank") >= p)
     top = stored(top.select("platform", "total_engagement", "pct_rank"))
-    hit = base.join(top, ["platform", "total_engagement"])
+    hit = _at_least(base, top).join(top, ["platform", "total_engagement"])
     return hit.select(
         "post_id", "platform", "total_engagement", F.round("pct_rank", 4).alias("relative_rank")
     ).orderBy("platform", F.desc("total_engagement"), "post_id")
@@ -159,7 +166,7 @@ def relative_leaders(posts: DataFrame, p: float = 0.99) -> DataFrame:
     ranks = value_ranks(base, "total_engagement", ["platform"])
     means = base.groupBy("platform").agg(F.avg("total_engagement").alias("platform_avg"))
     top = stored(ranks.where(F.col("pct_rank") >= p).join(means, "platform"))
-    hit = base.select("post_id", "platform", "total_engagement").join(top, ["platform", "total_engagement"])
+    hit = _at_least(base.select("post_id", "platform", "total_engagement"), top).join(top, ["platform", "total_engagement"])
     return hit.select(
         "post_id",
         "platform",

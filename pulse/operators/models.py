@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
@@ -37,7 +38,7 @@ from pulse.functions import fixed as X
 from pulse.functions.text import clean_variant, corpus_hash, strip_accents
 from pulse.functions.values import sentiment_number
 from pulse.operators import evaluation as V
-from pulse.operators.features import char_grams, vocab_size
+from pulse.operators.features import char_grams, english_stop_words, vocab_size
 from pulse.operators.splits import assign_folds, halves, stratified_split
 from pulse.session import stored
 
@@ -288,11 +289,15 @@ def cross_validate(
     for fold in range(k):
         train, test = data.where(F.col("fold") != fold), data.where(F.col("fold") == fold)
         if baseline:
-            rows.append(evaluate(majority(train, test)).select(F.lit(BASELINE).alias("model"), F.lit(fold).alias("fold"), *SCORES))
+            rows.append((BASELINE, fold, *evaluate(majority(train, test)).first()))
         for name, pipe in make(n).items():
-            done = evaluate(predict(pipe.fit(train), test))
-            rows.append(done.select(F.lit(name).alias("model"), F.lit(fold).alias("fold"), *SCORES))
-    return _stack(rows)
+            rows.append((name, fold, *evaluate(predict(pipe.fit(train), test)).first()))
+    return _runs(df, "model string, fold int", rows)
+
+
+def _runs(df: DataFrame, keys: str, rows: list[tuple]) -> DataFrame:
+    """One row of scores per run; runs are listed in the code."""
+    return df.sparkSession.createDataFrame(rows, ", ".join([keys, *[f"{s} double" for s in SCORES]]))
 
 
 def comparison(folds: DataFrame) -> DataFrame:
@@ -330,6 +335,31 @@ def tune(
     ).fit(data)
 
 
+def search(
+    features: list, classifier: Estimator, param: str, values: list[float], df: DataFrame, k: int = 3, seed: int = 42, parallelism: int = 4
+) -> DataFrame:
+    """``(value, macro_f1)``: the cross-validated score of each value of one
+    parameter of the classifier. Features are fitted once per fold, on its
+    training part, and their vectors are written, so that a value costs a fit
+    of the classifier alone."""
+    data = stored(assign_folds(df, "y_true", "id", k, seed))
+    scores = {v: 0.0 for v in values}
+    for fold in range(k):
+        train = data.where(F.col("fold") != fold)
+        made = Pipeline(stages=features).fit(train)
+        vectors = ["id", "label", "weight", "word_vec"]
+        parts = [stored(made.transform(p).select(*vectors)) for p in (train, data.where(F.col("fold") == fold))]
+
+        def one(value: float, parts=parts) -> tuple[float, float]:
+            model = classifier.copy({classifier.getParam(param): value}).fit(parts[0])
+            return value, MacroF1().evaluate(model.transform(parts[1]))
+
+        with ThreadPool(parallelism) as pool:
+            for value, f1 in pool.map(one, list(scores)):
+                scores[value] += f1 / k
+    return df.sparkSession.createDataFrame(sorted(scores.items()), "value double, macro_f1 double")
+
+
 def log_uniform(low: float, high: float, n: int, seed: int = 42) -> list[float]:
     """Seeded draws for a randomised search."""
     rng = random.Random(seed)
@@ -397,14 +427,12 @@ def feature_weights(model: PipelineModel, spark, labels: list[str] = X.LABELS, k
 
 def seed_stability(make: Callable[[], Pipeline], df: DataFrame, seeds: list[int]) -> DataFrame:
     """Macro-F1 of one split per seed."""
-    rows = []
+    rows, df = [], stored(df)
     for seed in seeds:
-        data = stratified_split(df, "y_true", "id", {"train": 0.8, "test": 0.2}, seed)
+        data = stored(stratified_split(df, "y_true", "id", {"train": 0.8, "test": 0.2}, seed))
         model = make().fit(data.where("split = 'train'"))
-        rows.append(
-            evaluate(predict(model, data.where("split = 'test'"))).select(F.lit(seed).alias("seed"), "macro_f1")
-        )
-    return _stack(rows)
+        rows.append((seed, *evaluate(predict(model, data.where("split = 'test'"))).first()))
+    return _runs(df, "seed int", rows).select("seed", "macro_f1")
 
 
 def stability_summary(runs: DataFrame) -> DataFrame:
@@ -433,12 +461,8 @@ def learning_curve(
             model = make().fit(train)
             parts = {"train": train, "test": data.where(F.col("fold") == fold)}
             for part, rows_of in parts.items():
-                rows.append(
-                    evaluate(predict(model, rows_of)).select(
-                        F.lit(fraction).alias("fraction"), F.lit(fold).alias("fold"), F.lit(part).alias("part"), "macro_f1"
-                    )
-                )
-    runs = _stack(rows)
+                rows.append((fraction, fold, part, *evaluate(predict(model, rows_of)).first()))
+    runs = _runs(df, "fraction double, fold int, part string", rows)
     return runs.groupBy("fraction", "part").agg(
         F.avg("macro_f1").alias("mean_f1"), F.stddev_pop("macro_f1").alias("std_f1")
     )
@@ -524,33 +548,38 @@ def paired_5x2_test(diffs: DataFrame) -> DataFrame:
     return out.withColumn("p_value", F.when(F.col("t_statistic") == 0, 1.0).otherwise(t5_tail(F.col("t_statistic"))))
 
 
+# The largest size Spark's vocabularies take.
+NO_LIMIT = 2**31 - 1
+
+
 # -- topics -----------------------------------------------------------------------------------------
 
 
 def topics(
     df: DataFrame,
     phases: list[str],
-    stop_words: list[str],
+    stop_words: list[str] | None = None,
     k: int = 3,
     terms: int = 8,
     min_docs: int = 10,
-    vocabulary: int = 50_000,
+    vocabulary: int | None = None,
     seed: int = 42,
     max_iter: int = 10,
 ) -> DataFrame:
     """Topics of each phase, ``(phase, n_docs, topic, terms)``.
 
     Needs columns ``phase`` and ``text``. A phase with few texts has one row
-    without a topic.
+    without a topic. English stop words are left out by default; the
+    vocabulary has no limit unless one is given.
     """
     sizes = {r["phase"]: r["n"] for r in df.where(F.col("phase").isin(phases)).groupBy("phase").agg(F.count(F.lit(1)).alias("n")).collect()}
     prepare = Pipeline(
         stages=[
             RegexTokenizer(inputCol="text", outputCol="g0", pattern=f"{X.WORD}{{2,}}", gaps=False),
-            StopWordsRemover(inputCol="g0", outputCol="g1", stopWords=stop_words),
+            StopWordsRemover(inputCol="g0", outputCol="g1", stopWords=english_stop_words() if stop_words is None else stop_words),
             NGram(n=2, inputCol="g1", outputCol="g2"),
             SQLTransformer(statement="SELECT *, concat(g1, g2) AS grams FROM __THIS__"),
-            CountVectorizer(inputCol="grams", outputCol="features", minDF=2.0, maxDF=0.9, vocabSize=vocabulary),
+            CountVectorizer(inputCol="grams", outputCol="features", minDF=2.0, maxDF=0.9, vocabSize=vocabulary or NO_LIMIT),
         ]
     )
     found = []

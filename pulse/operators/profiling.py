@@ -28,17 +28,25 @@ def value_counts(df: DataFrame, c: str, normalise: bool = False) -> DataFrame:
 
 
 def overview(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Type, NULLs and distinct values of each column, from one aggregate."""
-    distinct = F.approx_count_distinct if approx else F.count_distinct
+    """Type, NULLs and distinct values of each column.
+
+    Distinct values are counted over 64-bit hashes, one row per column and
+    value after the partial aggregate, so no cell is moved as it is; with
+    ``approx`` a sketch counts them in one scan.
+    """
     types = dict(df.dtypes)
     one = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[
-            F.struct(F.count(c).alias("filled"), distinct(c).alias("distinct")).alias(c)
-            for c in df.columns
-        ],
+        *[F.struct(F.count(c).alias("filled"), (F.approx_count_distinct(c) if approx else F.lit(0)).alias("distinct")).alias(c) for c in df.columns],
     )
     rows = one.unpivot(["_rows"], df.columns, "column", "s")
+    if approx:
+        rows = rows.withColumn("unique", F.col("s.distinct"))
+    else:
+        hashes = df.select(*[F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias(c) for c in df.columns])
+        long = hashes.unpivot([], df.columns, "column", "h").where(F.col("h").isNotNull())
+        counts = long.distinct().groupBy("column").agg(F.count(F.lit(1)).alias("unique"))
+        rows = rows.join(counts, "column", "left").withColumn("unique", F.coalesce("unique", F.lit(0)))
     kinds = F.create_map(*[F.lit(v) for pair in types.items() for v in pair])
     nulls = F.col("_rows") - F.col("s.filled")
     return rows.select(
@@ -46,7 +54,7 @@ def overview(df: DataFrame, approx: bool = False) -> DataFrame:
         F.element_at(kinds, F.col("column")).alias("dtype"),
         nulls.alias("null_count"),
         F.round(F.try_divide(nulls * 100.0, F.col("_rows")), 2).alias("null_pct"),
-        F.col("s.distinct").alias("unique"),
+        "unique",
     )
 
 

@@ -76,7 +76,7 @@ def value_ranks(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     NULLs rank first, as in SQL: they get no row but count as rows below.
     """
     counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    blanks = df.groupBy(*by).agg(F.count_if(F.col(value).isNull()).alias("_blank"))
+    blanks = counts.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col(value).isNull(), F.col("n"))), F.lit(0)).alias("_blank"))
     ranked = join_on(running_totals(counts.where(F.col(value).isNotNull()), value, ["n"], by), blanks, by)
     below, rows = F.col("n_before") + F.col("_blank"), F.col("n_total") + F.col("_blank")
     share = F.when(rows > 1, below / (rows - 1)).otherwise(F.lit(0.0))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulse.functions import fixed as X
 from pulse.functions.text import squeeze, tokens, word_grams
+from pulse.operators.features import english_stop_words
 from pulse.operators.ranking import top_k
 from pulse.session import stored
 
@@ -74,7 +75,8 @@ def trending(
 
     The vocabulary is the ``vocabulary`` most frequent grams found in at least
     two posts. ``rank='idf'`` puts the rarest of those first, ``'tfidf'``
-    weighs them by frequency. Terms holding a stop-list string are left out.
+    weighs them by frequency. English stop words are left out unless other
+    ``stop_words`` are given. Terms holding a stop-list string are left out.
     Buckets with fewer than ``min_docs`` posts fall back to word counts.
     """
     sizes = stored(df.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_docs")))
@@ -82,7 +84,7 @@ def trending(
     for s in stoplist:
         banned = banned | F.col("term").contains(s)
 
-    stats = gram_stats(df, ["bucket"], stop_words or []).where(F.col("df") >= 2)
+    stats = gram_stats(df, ["bucket"], english_stop_words() if stop_words is None else stop_words).where(F.col("df") >= 2)
     vocab = top_k(stats, [F.desc("tf"), F.col("term")], vocabulary, ["bucket"])
     idf = F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1
     score = idf if rank == "idf" else F.col("tf") * idf
@@ -108,20 +110,24 @@ def entities(
     gazetteer: DataFrame,
     by: list[str] | None = None,
     noise: DataFrame | None = None,
-    max_words: int = 3,
 ) -> DataFrame:
     """Mentions of gazetteer entries ``(alias, entity, type)`` per group.
 
+    Aliases may have any number of words; the longest one says how long the
+    word runs are that are looked up.
+
     The join on the alias comes before the counting. A gazetteer within
     Spark's broadcast limit then drops nearly all word runs where they are
     made; with a larger one the join shuffles and AQE splits common words.
     """
     by = list(by or [])
-    runs = df.select(*by, tokens("text").alias("toks"))
-    runs = runs.select(*by, F.explode(word_grams("toks", 1, max_words)).alias("alias"))
-    names = gazetteer.select(F.lower("alias").alias("alias"), F.lower("entity").alias("entity"), "type").where(
-        F.col("type").isin(X.ENTITY_TYPES)
+    names = gazetteer.where(F.col("type").isin(X.ENTITY_TYPES)).select(
+        tokens("alias").alias("words"), F.lower("entity").alias("entity"), "type"
     )
+    longest = names.agg(F.max(F.size("words"))).first()[0] or 1
+    names = names.select(F.array_join("words", " ").alias("alias"), "entity", "type")
+    runs = df.select(*by, tokens("text").alias("toks"))
+    runs = runs.select(*by, F.explode(word_grams("toks", 1, longest)).alias("alias"))
     found = runs.join(names, "alias").groupBy(*by, "entity", "type").agg(F.count(F.lit(1)).alias("mentions"))
     if noise is not None:
         found = found.join(noise.select(F.lower("entity").alias("entity")), "entity", "left_anti")

@@ -465,10 +465,12 @@ def flag_nulls(spark, d):
 @query("handle_missing", with_("raw_users", "blanked_users") + f"""
 SELECT ord, user_id, "location", "language",
   coalesce(follower_count, CAST((SELECT median({number_sql('follower_count')}) FROM blanked_users) AS VARCHAR)) AS follower_count,
-  CAST("location" IS NULL AS INTEGER) AS location_was_null FROM blanked_users WHERE "language" IS NOT NULL""")
+  CAST("location" IS NULL AS INTEGER) AS location_was_null, CAST(user_id IS NULL AS INTEGER) AS user_id_was_null
+FROM blanked_users WHERE "language" IS NOT NULL""")
 def handle_missing(spark, d):
     df = C.replace_placeholders(raw_users(spark, d)).drop("account_created")
-    return C.handle_missing(df, {"location": "flag", "follower_count": "median", "language": "drop"})
+    out = C.handle_missing(df, {"location": "flag", "follower_count": "median", "language": "drop"})
+    return out.withColumn("ord", F.col("ord").cast("long"))
 
 
 @query("missing_report", _RAW + " UNION ALL ".join(

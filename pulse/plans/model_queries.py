@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from pulse.functions import fixed as X
@@ -11,9 +10,10 @@ from pulse.functions.text import accent_table
 from pulse.operators import features as G
 from pulse.operators import models as M
 from pulse.operators.series import label_phases
+from pulse.operators.splits import stratified_split
 from pulse.plans.registry import query
 from pulse.plans.tables import labelled, social, table, with_
-from pulse.session import run_dir
+from pulse.session import run_dir, stored
 
 
 def training(spark, d):
@@ -21,16 +21,22 @@ def training(spark, d):
     return M.training_set(rows)
 
 
-def small_logistic(n: int = 300, min_df: float = 2.0) -> Pipeline:
-    return Pipeline(stages=[*M.word_features((1, 1), min_df=min_df, max_features=5000), M._logistic(1.0, n, 15)])
+def split(spark, d):
+    """The labelled rows, four fifths to learn from and one fifth to judge."""
+    rows = stored(stratified_split(training(spark, d), "y_true", "id", {"train": 0.8, "test": 0.2}))
+    return rows.where("split = 'train'").drop("split"), rows.where("split = 'test'").drop("split")
 
 
-def small_bayes(grams: tuple[int, int] = (1, 1)) -> Pipeline:
-    return Pipeline(stages=[*M.word_features(grams, max_features=5000, sublinear=False), M._bayes(0.5)])
+def logistic(n: int, min_df: float = 2.0) -> Pipeline:
+    return Pipeline(stages=[*M.word_features((1, 1), min_df=min_df), M._logistic(1.0, n, 15)])
 
 
-def small_svm(n: int = 300) -> Pipeline:
-    return Pipeline(stages=[*M.word_features((1, 1), max_features=5000), M._svm(1.0, n, 10)])
+def bayes(grams: tuple[int, int] = (1, 1)) -> Pipeline:
+    return Pipeline(stages=[*M.word_features(grams, sublinear=False), M._bayes(0.5)])
+
+
+def svm(n: int) -> Pipeline:
+    return Pipeline(stages=[*M.word_features((1, 1)), M._svm(1.0, n, 10)])
 
 
 # -- features ------------------------------------------------------------------------
@@ -39,8 +45,7 @@ _FOLD = "translate(post_text, '{}', '{}')".format(*accent_table())
 _GRAMS = f"""toks AS (SELECT text_id, regexp_extract_all(lower({_FOLD}), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS t FROM labelled),
 grams AS (SELECT text_id, unnest(list_concat(t, list_transform(generate_series(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM toks),
 counts AS (SELECT text_id, term, count(*) AS tf FROM grams GROUP BY ALL),
-vocab AS (SELECT term, count(*) AS df FROM counts GROUP BY term HAVING count(*) >= 2 AND count(*) <= 0.9::DOUBLE * (SELECT count(*) FROM labelled)
-  ORDER BY sum(tf) DESC, term LIMIT 2000)"""
+vocab AS (SELECT term, count(*) AS df FROM counts GROUP BY term HAVING count(*) >= 2 AND count(*) <= 0.9::DOUBLE * (SELECT count(*) FROM labelled))"""
 
 
 def _tfidf_sql(tf: str) -> str:
@@ -51,13 +56,13 @@ SELECT text_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY text_id)), 6)
 
 @query("tfidf", _tfidf_sql("(1 + ln(tf))"))
 def tfidf(spark, d):
-    t = G.tfidf(labelled(spark, d), "text_id", "post_text", max_df=0.9, max_features=2000)
+    t = G.tfidf(labelled(spark, d), "text_id", "post_text", max_df=0.9, max_features=None)
     return t.withColumn("weight", F.round("weight", 6))
 
 
 @query("tfidf_plain_counts", _tfidf_sql("tf"))
 def tfidf_plain_counts(spark, d):
-    t = G.tfidf(labelled(spark, d), "text_id", "post_text", max_df=0.9, max_features=2000, sublinear=False)
+    t = G.tfidf(labelled(spark, d), "text_id", "post_text", max_df=0.9, max_features=None, sublinear=False)
     return t.withColumn("weight", F.round("weight", 6))
 
 
@@ -101,36 +106,36 @@ def class_weights(spark, d):
 @query("model_comparison")
 def model_comparison(spark, d):
     def make(n):
-        return {"Logistic Regression": small_logistic(n), "Linear SVM": small_svm(n), "Multinomial Naive Bayes": small_bayes()}
+        return {"Logistic Regression": logistic(n), "Linear SVM": svm(n), "Multinomial Naive Bayes": bayes()}
 
-    return M.comparison(M.cross_validate(make, training(spark, d), k=2))
+    return M.comparison(M.cross_validate(make, training(spark, d)))
 
 
 @query("candidate_predictions")
 def candidate_predictions(spark, d):
-    rows = training(spark, d)
+    train, test = split(spark, d)
     return M._stack(
         [
-            M.predict(p.fit(rows), rows).select(F.lit(n).alias("model"), "id", "y_true", "y_pred")
-            for n, p in M.candidates(300, max_iter=10).items()
+            M.predict(p.fit(train), test).select(F.lit(n).alias("model"), "id", "y_true", "y_pred")
+            for n, p in M.candidates(train.count(), max_iter=10).items()
         ]
     )
 
 
 @query("char_union_predictions")
 def char_union_predictions(spark, d):
-    rows = training(spark, d)
-    return M.predict(M.char_union_svm(300, max_iter=10).fit(rows), rows).select("id", "y_true", "y_pred")
+    train, test = split(spark, d)
+    return M.predict(M.char_union_svm(train.count(), max_iter=10).fit(train), test).select("id", "y_true", "y_pred")
 
 
 @query("tuned_model")
 def tuned_model(spark, d):
-    pipe = small_logistic()
-    grid = ParamGridBuilder().addGrid(pipe.getStages()[-1].regParam, [1 / (c * 300) for c in (0.1, 1.0)]).build()
-    fitted = M.tune(pipe, grid, training(spark, d), k=2)
-    return spark.createDataFrame(
-        [(float(list(g.values())[0]), float(s)) for g, s in zip(grid, fitted.avgMetrics)], "reg double, macro_f1 double"
-    )
+    rows = stored(training(spark, d))
+    n = rows.count() * 2 // 3
+    *features, classifier = logistic(n).getStages()
+    draws = M.log_uniform(*X.SEARCH_RANGE, X.SEARCH_DRAWS)
+    found = M.search(features, classifier, "regParam", [1 / (c * n) for c in draws], rows)
+    return found.withColumnRenamed("value", "reg")
 
 
 @query("negation_feature_gain")
@@ -138,54 +143,59 @@ def negation_feature_gain(spark, d):
     from pulse.functions.text import negation_scope
 
     rows = training(spark, d)
-    plain = M.cross_validate(lambda n: {"plain": small_bayes()}, rows, 2, baseline=False)
+    plain = M.cross_validate(lambda n: {"plain": bayes()}, rows, baseline=False)
     tagged = rows.withColumn("text", negation_scope("text"))
-    negated = M.cross_validate(lambda n: {"negation": small_bayes()}, tagged, 2, baseline=False)
+    negated = M.cross_validate(lambda n: {"negation": bayes()}, tagged, baseline=False)
     return M.keep_if_better(plain.union(negated), "plain", "negation")
 
 
 @query("calibrated_probabilities")
 def calibrated_probabilities(spark, d):
-    rows = training(spark, d)
-    out = M.calibrate(small_svm, rows, rows, k=2)
+    train, test = split(spark, d)
+    n = train.count() * 2 // 3
+    out = M.calibrate(lambda: svm(n), train, test)
     return out.select("id", "y_true", "y_pred", "proba")
 
 
 @query("scored_posts")
 def scored_posts(spark, d):
     path = run_dir(spark, "model")
-    M.save_model(small_logistic().fit(training(spark, d)), path)
+    rows = stored(training(spark, d))
+    M.save_model(logistic(rows.count()).fit(rows), path)
     posts = social(spark, d).select("post_id", "text")
     return M.score(posts, M.load_model(path)).drop("text")
 
 
 @query("feature_weights")
 def feature_weights(spark, d):
-    return M.feature_weights(small_logistic().fit(training(spark, d)), spark)
+    rows = stored(training(spark, d))
+    return M.feature_weights(logistic(rows.count()).fit(rows), spark)
 
 
 @query("seed_stability")
 def seed_stability(spark, d):
-    return M.stability_summary(M.seed_stability(small_bayes, training(spark, d), [0, 7, 42]))
+    return M.stability_summary(M.seed_stability(bayes, training(spark, d), X.SEEDS))
 
 
 @query("learning_curve")
 def learning_curve(spark, d):
-    return M.learning_curve(small_bayes, training(spark, d), [0.4, 1.0], k=2)
+    return M.learning_curve(bayes, training(spark, d), X.TRAINING_SHARES)
 
 
 @query("cleaning_ablation")
 def cleaning_ablation(spark, d):
     tag = F.concat(F.lit("@u_"), F.col("id") % 3, F.lit(" ! #Tag_"), F.col("id") % 5, F.lit(" "), F.col("text"))
-    return M.ablate(small_bayes, training(spark, d).withColumn("text", tag), k=2)
+    return M.ablate(bayes, training(spark, d).withColumn("text", tag))
 
 
 @query("paired_test_5x2")
 def paired_test_5x2(spark, d):
-    return M.paired_5x2_test(M.paired_5x2(small_bayes, small_logistic, training(spark, d)))
+    rows = stored(training(spark, d))
+    n = rows.count() // 2
+    return M.paired_5x2_test(M.paired_5x2(bayes, lambda: logistic(n), rows))
 
 
 @query("phase_topics")
 def phase_topics(spark, d):
     docs = label_phases(social(spark, d), X.PHASES)
-    return M.topics(docs, [p[0] for p in X.PHASES], ["the", "and", "of", "le", "la", "der", "die"], vocabulary=5000)
+    return M.topics(docs, [p[0] for p in X.PHASES])

@@ -305,10 +305,11 @@ def trending_terms_weighted(spark, d):
     return _trending(spark, d, "tfidf").withColumn("bucket", F.col("bucket").cast("string"))
 
 
-# Names to look for: the first two words of each benchmark passage.
+# Names to look for: the first two and the first four words of each benchmark passage.
 CTE["gazetteer"] = """
 SELECT alias, min('item ' || alias) AS entity, min(CASE item_id % 3 WHEN 0 THEN 'ORG' WHEN 1 THEN 'PERSON' ELSE 'DATE' END) AS "type"
-FROM (SELECT item_id, array_to_string(regexp_extract_all(lower("text"), '[\\p{L}\\p{N}_]+')[1:2], ' ') AS alias FROM benchmark)
+FROM (SELECT item_id, unnest([array_to_string(w[1:2], ' '), array_to_string(w[1:4], ' ')]) AS alias
+  FROM (SELECT item_id, regexp_extract_all(lower("text"), '[\\p{L}\\p{N}_]+') AS w FROM benchmark))
 GROUP BY alias"""
 
 
@@ -316,7 +317,7 @@ def gazetteer(spark, d):
     from pulse.functions.text import tokens
 
     named = table(spark, d, "benchmark").select(
-        F.array_join(F.slice(tokens("text"), 1, 2), " ").alias("alias"),
+        F.explode(F.array(*[F.array_join(F.slice(tokens("text"), 1, n), " ") for n in (2, 4)])).alias("alias"),
         F.expr("CASE item_id % 3 WHEN 0 THEN 'ORG' WHEN 1 THEN 'PERSON' ELSE 'DATE' END").alias("type"),
     )
     return named.groupBy("alias").agg(F.min(F.concat(F.lit("item "), "alias")).alias("entity"), F.min("type").alias("type"))
@@ -324,7 +325,7 @@ def gazetteer(spark, d):
 
 _RUNS = """runs AS (SELECT bucket, unnest(list_concat(t, list_concat(
     list_transform(generate_series(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1]),
-    list_transform(generate_series(1, len(t) - 2), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])))) AS alias
+    list_transform(generate_series(1, len(t) - 3), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] || ' ' || t[i + 3])))) AS alias
   FROM (SELECT CAST(date_trunc('week', "timestamp") AS DATE) AS bucket, regexp_extract_all(lower("text"), '[\\p{L}\\p{N}_]+') AS t FROM social)),
 mentions AS (SELECT bucket, entity, "type", count(*) AS mentions FROM runs JOIN gazetteer USING (alias)
   WHERE "type" IN ('ORG', 'PERSON') GROUP BY ALL)"""

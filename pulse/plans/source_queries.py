@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pulse.operators import integrity as I
 from pulse.plans import pipelines as P
-from pulse.plans.model_queries import small_bayes, training
+from pulse.plans.model_queries import bayes, training
 from pulse.plans.registry import query
 from pulse.plans.series_queries import TRIGGERS, _rolled_sql, triggers
 from pulse.plans.tables import PREDICTIONS, predictions, raw_posts, raw_users, social, table, with_
@@ -90,9 +90,26 @@ def source_stats(spark, d):
     return s.withColumns({c: F.date_format(c, "yyyy-MM-dd HH") for c in ("first_ts", "last_ts")})
 
 
-@query("first_rows")
+_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query("first_rows", f"SELECT {', '.join(_KEY)} FROM lineitem ORDER BY {', '.join(_KEY)} LIMIT 5000")
 def first_rows(spark, d):
-    return D.first_rows(table(spark, d, "lineitem"), 5000)
+    return D.first_rows(table(spark, d, "lineitem").select(*_KEY), 5000, _KEY)
+
+
+@query("bucketed_tables", """SELECT o_orderkey, count(*) AS n_lines, CAST(sum(l_quantity) AS DOUBLE) AS quantity
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
+def bucketed_tables(spark, d):
+    folder = run_dir(spark, "bucketed")
+    names = {}
+    for t, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        names[t] = f"{t}_{folder.rsplit('/', 1)[1].replace('-', '_')}"
+        S.save_bucketed(table(spark, d, t), names[t], key, 8, f"{folder}/{t}")
+    joined = spark.table(names["orders"]).join(spark.table(names["lineitem"]), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").cast("double").alias("quantity")
+    )
 
 
 @query("predictions_table", with_(*PREDICTIONS) + "SELECT id, y_true, y_pred, p_neu FROM predictions")
@@ -225,11 +242,11 @@ def review_table(spark, d):
 _EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
-def event_stream(spark, d):
+def event_stream(spark, d, pattern="events.parquet", max_files=1000):
     from pyspark.sql.types import StructType
 
     schema = StructType.fromDDL(_EVENTS)
-    s = T.ingest_stream(spark, d, schema, pattern="events.parquet")
+    s = T.ingest_stream(spark, d, schema, pattern=pattern, max_files=max_files)
     return s.selectExpr(
         "event_id AS post_id", "CAST(ts AS TIMESTAMP) AS ts", "event_type", "CAST(floor(value * 10) AS DOUBLE) AS engagement_metric",
         "concat('p', CASE WHEN event_id % 33 = 32 THEN event_id - 1 ELSE event_id END) AS dup_id",
@@ -263,7 +280,13 @@ def stream_weekly_activity(spark, d):
 
 @query("stream_dedup", "SELECT DISTINCT 'p' || (CASE WHEN event_id % 33 = 32 THEN event_id - 1 ELSE event_id END) AS dup_id FROM events")
 def stream_dedup(spark, d):
-    return finished(spark, T.dedup_stream(event_stream(spark, d), "dup_id"), "dedup").select("dup_id")
+    # files out of event order, copies far apart: every third event lands last
+    landed, folder = run_dir(spark, "landed"), run_dir(spark, "dedup")
+    events = table(spark, d, "events")
+    for part in (1, 2, 0):
+        events.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(landed)
+        T.dedup_history(event_stream(spark, landed, "*.parquet", 1), folder, "dup_id").awaitTermination()
+    return T.read_batches(spark, folder).select("dup_id")
 
 
 @query("stream_enriched", "WITH " + f"""triggers AS (SELECT CAST(d AS DATE) + 1150 AS trigger_date, description FROM (VALUES {", ".join(f"('{a}', '{b}')" for a, b in TRIGGERS)}) t(d, description)),
@@ -307,27 +330,27 @@ def stream_sentiment(spark, d):
 
 @query("stream_scored")
 def stream_scored(spark, d):
-    model = small_bayes().fit(training(spark, d))
+    model = bayes().fit(training(spark, d))
     rows = document_stream(spark, d).select("post_id", "text")
     return finished(spark, T.score_stream(rows, model), "scored").drop("text")
 
 
 @query("stream_ingest_log", """SELECT 'run-1' AS run_ts, 'events' AS source, count(*) AS "count", 'OK' AS status FROM events
 UNION ALL SELECT 'run-1', 'documents', count(*), 'OK' FROM documents UNION ALL SELECT 'run-1', 'nothing', 0, 'EMPTY'
-UNION ALL SELECT 'run-1', 'broken', 0, 'ERROR' UNION ALL SELECT 'run-1', 'off', 0, 'SKIP'""")
+UNION ALL SELECT 'run-1', 'broken', 0, 'ERROR' UNION ALL SELECT 'run-1', 'off', 0, 'SKIP'
+UNION ALL SELECT 'run-2', s, 0, t FROM (VALUES ('events', 'EMPTY'), ('documents', 'EMPTY'), ('nothing', 'EMPTY'), ('broken', 'ERROR'), ('off', 'SKIP')) v(s, t)""")
 def stream_ingest_log(spark, d):
     def broken():
         return T.ingest_stream(spark, f"{d}/absent", table(spark, d, "pages").schema)
 
-    return T.isolated_ingest(
-        spark,
-        {
-            "events": lambda: event_stream(spark, d),
-            "documents": lambda: document_stream(spark, d),
-            "nothing": lambda: T.ingest_stream(spark, d, table(spark, d, "pages").schema, pattern="no_such_file.parquet"),
-            "broken": broken,
-            "off": None,
-        },
-        run_dir(spark, "ingest"),
-        "run-1",
-    )
+    sources = {
+        "events": lambda: event_stream(spark, d),
+        "documents": lambda: document_stream(spark, d),
+        "nothing": lambda: T.ingest_stream(spark, d, table(spark, d, "pages").schema, pattern="no_such_file.parquet"),
+        "broken": broken,
+        "off": None,
+    }
+    folder, log = run_dir(spark, "ingest"), run_dir(spark, "ingest-log")
+    for run in ("run-1", "run-2"):  # the second finds nothing new
+        T.isolated_ingest(spark, sources, folder, run, log_path=log)
+    return spark.read.parquet(log)

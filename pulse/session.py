@@ -62,10 +62,26 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_made: list[str] = []
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one."""
+    """A fresh folder below the shared one; :func:`drop_intermediates` removes it."""
     jvm = spark.sparkContext._jvm
-    return f"{shared_dir(spark)}/{name}-{jvm.java.util.UUID.randomUUID()}"
+    _made.append(f"{shared_dir(spark)}/{name}-{jvm.java.util.UUID.randomUUID()}")
+    return _made[-1]
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Remove the folders this session made so far and return their number.
+
+    For callers that are done with the results built on them.
+    """
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), len(_made)
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
 
 
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:

@@ -128,7 +128,7 @@ def normalise_review_csv(
     start: str,
     end: str,
     keywords: list[str],
-    max_rows: int | None = 3000,
+    max_rows: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """A review table of unknown column names as social records.

@@ -93,29 +93,28 @@ def merge_bonus(frames: list[DataFrame]) -> DataFrame:
     )
 
 
-def first_rows(df: DataFrame, n: int = 5000) -> DataFrame:
-    """A quick look at up to ``n`` rows."""
-    return df.limit(n)
+def first_rows(df: DataFrame, n: int = 5000, order: list[str] | None = None) -> DataFrame:
+    """A quick look at up to ``n`` rows: the first in ``order``, else any."""
+    return df.orderBy(*order).limit(n) if order else df.limit(n)
 
 
 def latest_run(spark: SparkSession, folder: str, kinds: tuple[str, ...] = ("scored", "merged")) -> DataFrame:
-    """Rows of the newest run of the first kind that has any.
+    """Rows of the newest run of the first kind that has any, with ``kind``
+    and ``run_ts``.
 
-    Runs are partitions ``kind=.../run_ts=...``; other runs are not read.
+    Runs are folders ``kind=.../run_ts=...``. Their names are listed, newest
+    first; no other run's rows are read.
     """
-    runs = spark.read.parquet(folder)
-    rank = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("kind"))
-    newest = (
-        runs.select("kind", "run_ts")
-        .distinct()
-        .where(F.col("kind").isin(*kinds))
-        .orderBy(rank, F.desc("run_ts"))
-        .select("kind", "run_ts")
-        .first()
-    )
-    if newest is None:
-        raise FileNotFoundError(f"no run of {kinds} below {folder}")
-    return runs.where((F.col("kind") == newest["kind"]) & (F.col("run_ts") == newest["run_ts"]))
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for kind in kinds:
+        home = jvm.org.apache.hadoop.fs.Path(f"{folder}/kind={kind}")
+        names = [f.getPath().getName() for f in fs.listStatus(home)] if fs.exists(home) else []
+        for name in sorted((n for n in names if n.startswith("run_ts=")), reverse=True):
+            rows = spark.read.parquet(f"{folder}/kind={kind}/{name}")
+            if not rows.isEmpty():
+                return rows.withColumns({"kind": F.lit(kind), "run_ts": F.lit(name.removeprefix("run_ts="))})
+    raise FileNotFoundError(f"no run of {kinds} below {folder}")
 
 
 def source_stats(df: DataFrame, ts: str = "timestamp") -> DataFrame:

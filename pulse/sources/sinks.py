@@ -44,26 +44,29 @@ POST_COLUMNS = [
 ]
 
 
-def load_tables(users: DataFrame, posts: DataFrame, folder: str, buckets: int = 16) -> DataFrame:
+def load_tables(users: DataFrame, posts: DataFrame, folder: str, buckets: int | None = None) -> DataFrame:
     """Write users and posts in table order and report broken constraints.
 
     Posts are clustered by user within files of one platform, so filters on
-    the platform skip files and Parquet statistics narrow the user.
+    the platform skip files and Parquet statistics narrow the user. The number
+    of files of a platform follows the shuffle width unless ``buckets`` is set.
     """
+    spark = users.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     u, p = users.select(*USER_COLUMNS), posts.select(*POST_COLUMNS)
     u.write.mode("overwrite").parquet(f"{folder}/users")
     # one platform may hold most rows: the user id spreads it over many files
-    spread = p.repartition(buckets, "platform", F.pmod(F.xxhash64("user_id"), F.lit(buckets)))
+    spread = p.repartition("platform", F.pmod(F.xxhash64("user_id"), F.lit(buckets)))
     spread.sortWithinPartitions("platform", "user_id").write.mode("overwrite").partitionBy("platform").parquet(
         f"{folder}/posts"
     )
-    spark = users.sparkSession
     return integrity_report(spark.read.parquet(f"{folder}/users"), spark.read.parquet(f"{folder}/posts"))
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int = 64) -> None:
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int = 64, path: str | None = None) -> None:
     """A catalog table bucketed on a key, for joins without a shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def create_engagement_view(posts: DataFrame, name: str = "v_post_engagement") -> None:

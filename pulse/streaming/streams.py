@@ -8,6 +8,7 @@ replaces its rows and adds none.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -20,7 +21,9 @@ from pyspark.sql.utils import AnalysisException
 from pulse.functions import fixed as X
 from pulse.operators.correlation import nearest_event
 from pulse.operators.models import score
+from pulse.operators.ranking import keep_first
 from pulse.operators.series import spikes
+from pulse.sources.sinks import append_log
 
 
 def ingest_stream(
@@ -34,10 +37,33 @@ def ingest_stream(
 
 
 def dedup_stream(df: DataFrame, key: str = "post_id", ts: str = "ts", delay: str = "1 day") -> DataFrame:
-    """The first row of each key; keys are forgotten after ``delay``."""
+    """The first row of each key within ``delay``, with bounded state: keys
+    are forgotten after it, and rows later than the watermark are dropped.
+    :func:`dedup_history` keeps every key for good."""
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
+def dedup_history(
+    df: DataFrame, folder: str, key: str = "post_id", order: list[str] | None = None, trigger: dict | None = None
+) -> StreamingQuery:
+    """The first row of each key over the whole history, whatever the order in
+    which files arrive.
+
+    A batch keeps its own first rows (in ``order``, else any) and loses those
+    whose key an earlier batch has written. Only the key column of what is
+    written is read. A batch that runs again ignores what it wrote itself.
+    """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        own = keep_first(rows, [key], order) if order else rows.dropDuplicates([key])
+        done = _written(rows.sparkSession, folder, rows.schema)
+        if done is not None:
+            own = own.join(done.where(F.col("batch") < batch).select(key), key, "left_anti")
+        own.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
+
+    return _start(df, write, folder, trigger)
+
+
 def activity_stream(
     df: DataFrame, size: str = "1 day", slide: str | None = None, delay: str = "1 day", ts: str = "ts", by: list[str] | None = None
 ) -> DataFrame:
@@ -78,15 +104,7 @@ def enrich_stream(df: DataFrame, triggers: DataFrame, ts: str = "ts", max_days:
     return nearest_event(df.withColumn("event_date", F.to_date(ts)), triggers, max_days)
 
 
-def write_batches(
-    df: DataFrame, folder: str, trigger: dict | None = None, per_batch: Callable[[DataFrame], DataFrame] | None = None
-) -> StreamingQuery:
-    """Start a query that writes every batch to ``folder/rows/batch=N``."""
-
-    def write(rows: DataFrame, batch: int) -> None:
-        out = per_batch(rows) if per_batch else rows
-        out.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
-
+def _start(df: DataFrame, write: Callable[[DataFrame, int], None], folder: str, trigger: dict | None) -> StreamingQuery:
     return (
         df.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{folder}/checkpoint")
@@ -95,15 +113,36 @@ def write_batches(
     )
 
 
-def read_batches(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/rows").drop("batch")
+def _written(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame | None:
+    """The rows written so far with their ``batch``, None before the first."""
+    try:
+        return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{folder}/rows")
+    except AnalysisException:
+        return None
 
 
-def _rows_written(spark: SparkSession, folder: str) -> int:
-    try:
-        return read_batches(spark, folder).count()
-    except AnalysisException:  # no batch was written
-        return 0
+def write_batches(
+    df: DataFrame,
+    folder: str,
+    trigger: dict | None = None,
+    per_batch: Callable[[DataFrame], DataFrame] | None = None,
+    on_batch: Callable[[int, int], None] | None = None,
+) -> StreamingQuery:
+    """Start a query that writes every batch to ``folder/rows/batch=N``;
+    ``on_batch`` is told the number of the batch and its rows."""
+
+    def write(rows: DataFrame, batch: int) -> None:
+        out = per_batch(rows) if per_batch else rows
+        path = f"{folder}/rows/batch={batch}"
+        out.write.mode("overwrite").parquet(path)
+        if on_batch:
+            on_batch(batch, rows.sparkSession.read.schema(out.schema).parquet(path).count())
+
+    return _start(df, write, folder, trigger)
+
+
+def read_batches(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/rows").drop("batch")
 
 
 def spike_stream(
@@ -136,23 +175,46 @@ def spike_stream(
 
 
 def isolated_ingest(
-    spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], folder: str, run_ts: str, timeout: float | None = None
+    spark: SparkSession,
+    sources: dict[str, Callable[[], DataFrame] | None],
+    folder: str,
+    run_ts: str,
+    timeout: float | None = None,
+    log_path: str | None = None,
 ) -> DataFrame:
-    """One query per source; a source that fails does not stop the others.
+    """One query per source, all at once; a source that fails does not stop
+    the others, and a slow one does not hold them up.
 
-    Returns the log ``(run_ts, source, count, status)`` with ``OK``, ``EMPTY``
-    or ``ERROR``; ``SKIP`` marks a source given as None.
+    Returns the log ``(run_ts, source, count, status)`` of this run: rows that
+    it wrote, and ``OK``, ``EMPTY``, ``ERROR``, ``TIMEOUT`` for a source
+    stopped after ``timeout`` seconds, or ``SKIP`` for one given as None. With
+    ``log_path`` the log is appended there too.
     """
-    log = []
+    counts: dict[str, dict[int, int]] = {name: {} for name in sources}
+    status: dict[str, str] = {}
+    queries: dict[str, StreamingQuery] = {}
     for name, make in sources.items():
         if make is None:
-            log.append((run_ts, name, 0, "SKIP"))
+            status[name] = "SKIP"
             continue
         try:
-            q = write_batches(make(), f"{folder}/{name}")
-            q.awaitTermination(timeout) if timeout else q.awaitTermination()
-            n = _rows_written(spark, f"{folder}/{name}")
-            log.append((run_ts, name, n, "OK" if n else "EMPTY"))
+            queries[name] = write_batches(make(), f"{folder}/{name}", on_batch=counts[name].__setitem__)
         except Exception:  # noqa: BLE001 - the log is where a failing source shows
-            log.append((run_ts, name, 0, "ERROR"))
-    return spark.createDataFrame(log, "run_ts string, source string, count long, status string")
+            status[name] = "ERROR"
+    deadline = None if timeout is None else time.monotonic() + timeout
+    for name, q in queries.items():
+        try:
+            ended = q.awaitTermination() if deadline is None else q.awaitTermination(max(0.001, deadline - time.monotonic()))
+            if deadline is not None and not ended:
+                q.stop()
+                status[name] = "TIMEOUT"
+        except Exception:  # noqa: BLE001
+            status[name] = "ERROR"
+    log = []
+    for name in sources:
+        n = sum(counts[name].values())
+        log.append((run_ts, name, n, status.get(name, "OK" if n else "EMPTY")))
+    out = spark.createDataFrame(log, "run_ts string, source string, count long, status string")
+    if log_path:
+        append_log(out, log_path)
+    return out

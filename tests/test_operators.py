@@ -179,6 +179,35 @@ def test_interval_is_closed_and_newest_first(spark):
     assert sorted(r.item_id for r in K.within_interval(events, items, k=2).collect()) == [2, 4]
 
 
+def test_events_that_share_a_time_have_lists_of_their_own(spark):
+    events = spark.sql("select * from values ('a', timestamp'2024-01-10 00:00:00'), ('b', timestamp'2024-01-10 00:00:00') as t(name, event_ts)")
+    items = spark.sql("select id as item_id, timestamp'2024-01-10 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int)) as ts from range(6)")
+    got = K.within_interval(events, items, k=5).collect()
+    assert sorted((r.name, r.item_id) for r in got) == [(n, i) for n in "ab" for i in range(1, 6)]
+
+
+def test_aliases_of_many_words_are_found(spark):
+    from pulse.operators import terms as M
+
+    df = spark.sql("select 'The United States of America and the states' as text")
+    names = spark.sql("select * from values ('united states of america', 'usa', 'GPE'), ('states', 'state', 'GPE') as t(alias, entity, type)")
+    assert {r.entity: r.mentions for r in M.entities(df, names).collect()} == {"usa": 1, "state": 2}
+
+
+def test_missing_values_keep_the_columns(spark):
+    from pulse.operators import cleaning as C
+
+    config = {"a": "median", "b": "flag", "c": "drop", "d": "mode"}
+    schema = "a double, b string, c string, d string, e long"
+    full = C.handle_missing(spark.createDataFrame([(1.0, "x", "y", "z", 1)] * 3, schema), config)
+    holes = C.handle_missing(
+        spark.createDataFrame([(1.0, "x", "y", "z", 1), (3.0, None, "y", None, None), (None, "x", None, "z", 3), (None, "x", "y", "z", 5)], schema), config
+    )
+    assert full.dtypes == holes.dtypes and {"b_was_null", "d_was_null"} <= set(full.columns)
+    rows = sorted(tuple(r[c] for c in ("a", "b_was_null", "d", "d_was_null", "e")) for r in holes.collect())
+    assert rows == [(1.0, 0, "z", 0, 1.0), (2.0, 0, "z", 0, 5.0), (3.0, 1, "z", 1, 3.0)]
+
+
 def _jaccard(a, b):
     grams = lambda t: {tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)}
     x, y = grams(a), grams(b)

@@ -95,6 +95,34 @@ def test_stream_dedup_keeps_one(spark, tmp_path):
     assert sorted(r.post_id for r in T.read_batches(spark, out).collect()) == ["a", "b"]
 
 
+def test_history_keeps_late_keys_and_drops_distant_copies(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    files = [[("a", "2024-03-01 00:00:00", 1.0)], [("late", "2024-01-01 00:00:00", 1.0)], [("a", "2024-06-01 00:00:00", 1.0), ("b", "2024-06-01 00:00:00", 1.0)]]
+    for rows in files:
+        _land(spark, src, rows)
+        stream = T.ingest_stream(spark, src, StructType.fromDDL(SCHEMA), max_files=1)
+        T.dedup_history(stream, out, order=["ts"]).awaitTermination()
+    got = sorted((r.post_id, r.ts.month) for r in T.read_batches(spark, out).collect())
+    assert got == [("a", 3), ("b", 6), ("late", 1)]
+
+
+def test_ingest_counts_the_run_and_tells_timeouts(spark, tmp_path):
+    src, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    _land(spark, src, [("a", "2024-01-01 00:00:00", 1.0), ("b", "2024-01-01 05:00:00", 2.0)])
+
+    def slow(rows):
+        return rows.withColumn("post_id", F.udf(lambda x: __import__("time").sleep(30) or x)("post_id"))
+
+    sources = {"s": lambda: T.ingest_stream(spark, src, StructType.fromDDL(SCHEMA))}
+    for run, want in (("r1", (2, "OK")), ("r2", (0, "EMPTY"))):
+        got = T.isolated_ingest(spark, sources, out, run, log_path=log).first()
+        assert (got["count"], got["status"]) == want
+    assert spark.read.parquet(log).count() == 2
+    late = {"s": lambda: slow(T.ingest_stream(spark, src, StructType.fromDDL(SCHEMA)))}
+    got = T.isolated_ingest(spark, late, str(tmp_path / "slow"), "r3", timeout=2).first()
+    assert (got["count"], got["status"]) == (0, "TIMEOUT")
+
+
 def test_spike_stream_over_two_runs_equals_batch(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     days = [3, 3, 3, 3, 3, 3, 60, 3, 3, 3, 3, 50, 3, 3]
