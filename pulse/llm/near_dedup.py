@@ -197,9 +197,9 @@ def near_duplicates(
     sigs = stored(src.mapInArrow(_signer(words, bands, rows), schema), "signatures")
 
     full = sigs.where("n > 0 AND id IS NOT NULL")
-    firsts = full.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
-    mine = firsts.withColumnRenamed("rep", "id")
-    reps = stored(full.join(mine, ["k1", "k2", "id"], "left_semi").dropDuplicates(["k1", "k2"]), "sets")
+    first = F.min_by(F.struct("n", "bands"), "id").alias("s")
+    reps = full.groupBy("k1", "k2").agg(F.min("id").alias("id"), first).select("k1", "k2", "id", "s.n", "s.bands")
+    reps = stored(reps, "sets")
 
     spread = reps.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
     centre = F.min(F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("c"), F.col("n").alias("cn"))).alias("m")
@@ -232,8 +232,8 @@ def near_duplicates(
     more = rest.groupBy("bucket", "band", "bi", "bj").applyInPandas(_settle(share), "a long, b long")
     joined = components(first.toDF("a", "b").union(more), "a", "b")
 
-    verts = firsts.join(joined, F.col("rep") == F.col("u"), "left")
-    verts = verts.select("k1", "k2", F.coalesce("v", "rep").alias("root"))
+    verts = reps.join(joined, F.col("id") == F.col("u"), "left")
+    verts = verts.select("k1", "k2", F.coalesce("v", "id").alias("root"))
     out = sigs.select("id", "n", "k1", "k2").join(verts, ["k1", "k2"], "left")
     root = F.coalesce("root", "id")
     return out.select(
