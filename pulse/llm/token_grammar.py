@@ -21,10 +21,10 @@ from pulse.session import run_dir
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
-ROUNDS = 6
+ROUNDS = 5
 MIN_COUNT = 4
-SLOT_BITS = 20
-CACHE_WORDS = 1_000_000
+SLOT_BITS = 19
+CACHE_WORDS = 1_500_000
 
 # A run of Latin letters that neither composition nor lower-casing splits,
 # then ASCII signs: the shape whose two pieces the tokenizer cuts apart.
@@ -136,10 +136,10 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int, width: int) -> tuple[
             break
         # Rules by a hash of the pair; of two in one place one goes unused.
         place = lambda x: (x * kind(0x9E3779B1)) >> kind(8 * kind().itemsize - SLOT_BITS)
-        slots = np.zeros(1 << SLOT_BITS, np.int32)
+        slots = np.zeros(1 << SLOT_BITS, np.int16 if limit - base < 1 << 15 else np.int32)
         slots[place(rules)[::-1]] = np.arange(len(rules) - 1, -1, -1)
         rank = slots[place(code)]
-        rank[(rules[rank] != code) | ~inner] = len(rules)
+        rank[(rules[rank] != code) | ~inner] = len(rules)  # fits: fewer rules than the limit
         free = rank < len(rules)
         same = np.flatnonzero(free[1:] & (rank[1:] == rank[:-1])) + 1
         last_in_line = rank <= np.append(rank[1:], len(rules))
@@ -149,7 +149,7 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int, width: int) -> tuple[
         hit = np.flatnonzero(free)
         if not len(hit):
             break
-        s[hit] = (base + rank[hit]).astype(kind)
+        s[hit] = base + rank[hit].astype(kind)
         last[hit] = last[hit + 1]
         keep = np.ones(len(s), bool)
         keep[hit + 1] = False
@@ -158,7 +158,7 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int, width: int) -> tuple[
 
 
 def expand(symbols: np.ndarray, base: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The terminals that a run of symbols stands for."""
+    """The terminals that a short run of symbols stands for, step by step."""
     while len(symbols) and symbols.max() >= base:
         wide = symbols >= base
         place = np.cumsum(1 + wide) - 1 - wide
@@ -170,6 +170,33 @@ def expand(symbols: np.ndarray, base: int, left: np.ndarray, right: np.ndarray)
     return symbols
 
 
+def _spread(flat: np.ndarray, start: np.ndarray, size: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """The parts of ``flat`` that the symbols name, one after the other."""
+    n = size[symbols]
+    ends = np.cumsum(n)
+    shift = np.repeat(start[symbols] - (ends - n), n)
+    return flat[shift + np.arange(len(shift), dtype=shift.dtype)]
+
+
+def expand_all(symbols: np.ndarray, base: int, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The terminals of a whole block: every rule is written out once, the
+    ones of each depth together, then all symbols are looked up in one step."""
+    size = np.concatenate([np.ones(base, np.int32), lengths.astype(np.int32)])
+    start = np.concatenate([np.arange(base, dtype=np.int32), np.zeros(len(rules), np.int32)])
+    depth, flat = np.zeros(base + len(rules), np.int8), np.arange(base, dtype=np.uint32)
+    while len(rules):
+        new = 1 + depth[rules].max(1)
+        if (new == depth[base:]).all():
+            break
+        depth[base:] = new
+    for level in range(1, int(depth.max(initial=0)) + 1):
+        own = np.flatnonzero(depth[base:] == level)
+        ends = np.cumsum(size[base + own])
+        start[base + own] = len(flat) + ends - size[base + own]
+        flat = np.concatenate([flat, _spread(flat, start, size, rules[own].ravel())])
+    return _spread(flat, start, size, symbols)
+
+
 def _lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """Expansion length of each rule. A rule uses symbols of earlier rules only."""
     out: list[int] = []
@@ -206,9 +233,10 @@ def unpack(block: dict, doc: int | None = None) -> np.ndarray:
     kind, base = f"<u{block['width']}", block["base"]
     rules = np.frombuffer(block["rules"], kind).astype(np.int64).reshape(-1, 2)
     symbols = np.frombuffer(block["symbols"], kind)
-    if doc is not None:
-        start = int(np.sum(block["doc_symbols"][:doc]))
-        symbols = symbols[start : start + int(block["doc_symbols"][doc])]
+    if doc is None:
+        return expand_all(symbols.astype(np.int64), base, rules, np.frombuffer(block["rule_lengths"], "<u4"))
+    start = int(np.sum(block["doc_symbols"][:doc]))
+    symbols = symbols[start : start + int(block["doc_symbols"][doc])]
     return expand(symbols.astype(np.int64), base, rules[:, 0], rules[:, 1])
 
 
@@ -288,7 +316,7 @@ def write_tokens(
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            ids = unpack(row).astype("<u4")
+            ids = unpack(row).astype("<u4", copy=False)
             ends = np.cumsum(row["doc_tokens"])
             starts = ends - row["doc_tokens"]
             crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
