@@ -20,8 +20,8 @@ WORD_BYTES = 48
 SLOT_BITS = 19
 SCALE = 1000.0
 SMOOTHING = 200.0
-FLUSH_WORDS = 200_000
-CACHE_WORDS = 400_000
+FLUSH_WORDS = 400_000
+CACHE_WORDS = 800_000
 _BASE = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -210,7 +210,7 @@ def learn(train: DataFrame, model: str, text: str = "text", lang: str = "lang")
     return langs, vocab, probs
 
 
-_words: dict[int, tuple[dict[str, int], list[np.ndarray]]] = {}
+_words: dict[int, tuple[dict[str, int], np.ndarray]] = {}
 
 
 def _scorer(shared, key: int):
@@ -219,14 +219,12 @@ def _scorer(shared, key: int):
         weight = probs * (SCALE**v.size)[:, None]
         if key not in _words:
             _words.clear()
-            _words[key] = ({}, [])
-        known, blocks = _words[key]
-        table = np.concatenate(blocks) if blocks else np.zeros((0, len(langs)))
+            _words[key] = ({}, np.zeros((1024, len(langs))))
+        known, table = _words[key]
         for part, texts in chunks(batches):
             found = [letter_words(t) for t in texts]
             if len(known) > CACHE_WORDS:
                 known.clear()
-                table = table[:0]
             new = list(set().union(*found).difference(known))
             if new and langs:
                 pieces = [cut(w) for w in new]
@@ -235,8 +233,11 @@ def _scorer(shared, key: int):
                 logs = np.zeros((len(new), len(langs)))
                 for at, mat in by_length(flat):
                     np.add.at(logs, owner[at], forward(mat, v, weight))
-                known.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
-                table = np.concatenate([table, logs])
+                first, last = len(known), len(known) + len(new)
+                if last > len(table):  # twice the room, so growing costs little
+                    table = np.concatenate([table, np.zeros((last, len(langs)))])
+                table[first:last] = logs
+                known.update(zip(new, range(first, last), strict=True))
             best, score = [], []
             for words in found:
                 if not words or not langs:
@@ -251,7 +252,7 @@ def _scorer(shared, key: int):
                 [part.column(0), pa.array(best, pa.string()), pa.array(score, pa.float64())],
                 names=["doc_id", "lang_pred", "score"],
             )
-        _words[key] = (known, [table])
+        _words[key] = (known, table)
 
     return run
 
