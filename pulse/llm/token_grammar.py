@@ -21,9 +21,9 @@ from pulse.session import run_dir
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
-ROUNDS = 5
-MIN_COUNT = 4
-SLOT_BITS = 19
+BIN_BITS = 20
+FALL = 4
+FEW = 1 << 15
 CACHE_WORDS = 1_500_000
 
 # A run of Latin letters that neither composition nor lower-casing splits,
@@ -95,19 +95,6 @@ def encode(texts: list[str], path: str) -> list[np.ndarray]:
 # -- grammar ---------------------------------------------------------------
 
 
-def _frequent(code: np.ndarray, known: np.ndarray, room: int) -> np.ndarray:
-    """The ``room`` most frequent pairs without a rule, from ``MIN_COUNT`` on."""
-    ordered = np.sort(code)
-    first = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
-    first = np.concatenate(([0], first)) if len(ordered) else first
-    count = np.diff(np.append(first, len(ordered)))
-    often = count >= MIN_COUNT
-    pairs, count = ordered[first[often]], count[often]
-    fresh = ~np.isin(pairs, known)
-    pairs, count = pairs[fresh], count[fresh]
-    return pairs[np.lexsort((pairs, -count))[:room]]
-
-
 def _every_second(places: np.ndarray) -> np.ndarray:
     """Of each run of neighbouring places the second, the fourth, and so on."""
     group = places - np.arange(len(places))
@@ -116,44 +103,94 @@ def _every_second(places: np.ndarray) -> np.ndarray:
     return places[inside % 2 == 1]
 
 
-def compress(ids: np.ndarray, last: np.ndarray, base: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _bins(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BIN_BITS)).astype(np.int32)
+
+
+def _groups(code: np.ndarray, rules: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct pairs: ``(pairs, count, rule, group)`` in the order of the
+    pairs; ``rule`` is -1 without one, ``group`` is the pair of each place."""
+    both = np.concatenate([rules, code])
+    order = np.argsort(both)
+    ordered = both[order]
+    first = np.diff(ordered, prepend=~ordered[:1]) != 0
+    group = np.empty(len(both), np.int32)
+    group[order] = np.cumsum(first, dtype=np.int32) - 1
+    pairs = ordered[first]
+    rule = np.full(len(pairs), -1, np.int32)
+    rule[group[: len(rules)]] = np.arange(len(rules))
+    group = group[len(rules) :]
+    return pairs, np.bincount(group, minlength=len(pairs)), rule, group
+
+
+def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair in rounds: ``(symbols, last, rules)``, a rule being a pair of
-    symbols of ``width`` bytes each.
+    symbols of 32 bits each.
 
     Each round gives a nonterminal to the most frequent adjacent pairs and
     replaces their occurrences, from the left in a run of one symbol; where
-    two pairs overlap, the earlier rule wins, the other waits for a round. A pair never reaches past the end of
-    a document (``last``).
+    two pairs overlap, the earlier rule wins, the other waits for a round. A
+    rule that is left with less than two places in its round is not made. The
+    least count falls by ``FALL`` a round down to 2; the end is reached when
+    no pair occurs twice and none has a rule. A pair never reaches past the
+    end of a document (``last``).
     """
-    kind = np.uint32 if width == 2 else np.uint64
-    shift, limit = kind(8 * width), min(1 << (8 * width), base + (1 << 20))
-    s, rules = ids.astype(kind), np.empty(0, kind)
-    for turn in range(ROUNDS):
-        code, inner = (s[:-1] << shift) | s[1:], ~last[:-1]
-        room = -(-(limit - base - len(rules)) // (ROUNDS - turn))
-        rules = np.concatenate([rules, _frequent(code[inner], rules, room)])
-        if not len(rules):
-            break
-        # Rules by a hash of the pair; of two in one place one goes unused.
-        place = lambda x: (x * kind(0x9E3779B1)) >> kind(8 * kind().itemsize - SLOT_BITS)
-        slots = np.zeros(1 << SLOT_BITS, np.int16 if limit - base < 1 << 15 else np.int32)
-        slots[place(rules)[::-1]] = np.arange(len(rules) - 1, -1, -1)
-        rank = slots[place(code)]
-        rank[(rules[rank] != code) | ~inner] = len(rules)  # fits: fewer rules than the limit
-        free = rank < len(rules)
-        same = np.flatnonzero(free[1:] & (rank[1:] == rank[:-1])) + 1
-        last_in_line = rank <= np.append(rank[1:], len(rules))
-        free[1:] &= rank[1:] < rank[:-1]
-        free[_every_second(same)] = True
-        free &= last_in_line
-        hit = np.flatnonzero(free)
+    s, last, rules = ids.astype(np.uint32), last.copy(), np.empty(0, np.uint64)
+    ruled, least, whole = np.zeros(1 << BIN_BITS, bool), len(s), True
+    live = np.ones(len(s), bool)  # places whose pair may occur twice or have a rule
+    while len(s) > 1:
+        # In a run of one symbol every second place overlaps the one before.
+        inner = ~last[:-1]
+        twin = (s[1:] == s[:-1]) & inner
+        same = np.flatnonzero(twin[1:] & twin[:-1]) + 1
+        inner[same] = False
+        inner[_every_second(same)] = True
+        at = np.flatnonzero(inner & live[:-1])
+        code = (s[at].astype(np.uint64) << np.uint64(32)) | s[at + 1]
+        bins, least = _bins(code), max(2, least // FALL)
+        if len(at) > FEW:
+            full = np.bincount(bins, minlength=1 << BIN_BITS)[bins]
+            # A pair alone in its bin occurs once, and again only with new symbols.
+            live[at[(full == 1) & ~ruled[bins]]] = False
+            least = max(2, min(least, int(full.max()) // FALL))
+            often = (full >= least) | ruled[bins]
+            at, code, bins = at[often], code[often], bins[often]
+        met = np.zeros(1 << BIN_BITS, bool)
+        met[bins] = True
+        known = np.flatnonzero(met[_bins(rules)])
+        pairs, count, rule, group = _groups(code, rules[known])
+        live[at[((count == 1) & (rule < 0))[group]]] = False
+        fresh = np.flatnonzero((rule < 0) & (count >= least))
+        fresh = fresh[np.lexsort((fresh, -count[fresh]))]
+        none = len(rules) + len(fresh)
+        of = np.full(len(pairs), none, np.int32)
+        of[rule >= 0] = known[rule[rule >= 0]]
+        of[fresh] = len(rules) + np.arange(len(fresh))
+        rank = np.full(len(s) + 1, none, np.int32)
+        rank[at + 1] = of[group]
+        own = rank[at + 1]
+        won = (own < none) & (own < rank[at]) & (own < rank[at + 2])
+        hit, own = at[won], own[won]
+        made = np.bincount(own, minlength=none) > 1
+        made[: len(rules)] = True
+        hit, own = hit[made[own]], own[made[own]]
+        # The first rule has every place of its pair, so a round with any pair
+        # to replace makes the text shorter. The last one looks at all places.
         if not len(hit):
-            break
-        s[hit] = base + rank[hit].astype(kind)
+            if least == 2 and whole:
+                break
+            if least == 2:
+                live[:], whole = True, True
+            continue
+        new = pairs[fresh[made[len(rules) :]]]
+        s[hit] = base + (np.cumsum(made) - 1)[own]
+        rules, whole = np.concatenate([rules, new]), False
+        ruled[_bins(new)] = True
         last[hit] = last[hit + 1]
+        live[hit], live[np.maximum(hit, 1) - 1] = True, True
         keep = np.ones(len(s), bool)
         keep[hit + 1] = False
-        s, last = s[keep], last[keep]
+        s, last, live = s[keep], last[keep], live[keep]
     return s, last, rules
 
 
@@ -181,72 +218,88 @@ def _spread(flat: np.ndarray, start: np.ndarray, size: np.ndarray, symbols: np.n
 def expand_all(symbols: np.ndarray, base: int, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The terminals of a whole block: every rule is written out once, the
     ones of each depth together, then all symbols are looked up in one step."""
-    size = np.concatenate([np.ones(base, np.int32), lengths.astype(np.int32)])
-    start = np.concatenate([np.arange(base, dtype=np.int32), np.zeros(len(rules), np.int32)])
-    depth, flat = np.zeros(base + len(rules), np.int8), np.arange(base, dtype=np.uint32)
+    total = base + int(lengths.sum(dtype=np.int64))
+    kind = np.int32 if max(total, int(lengths.max(initial=1)) * len(symbols)) < 1 << 31 else np.int64
+    size = np.concatenate([np.ones(base, kind), lengths.astype(kind)])
+    start = np.concatenate([np.arange(base, dtype=kind), np.zeros(len(rules), kind)])
+    depth, flat = np.zeros(base + len(rules), np.int32), np.empty(total, np.uint32)
+    flat[:base] = np.arange(base)
     while len(rules):
         new = 1 + depth[rules].max(1)
         if (new == depth[base:]).all():
             break
         depth[base:] = new
-    for level in range(1, int(depth.max(initial=0)) + 1):
-        own = np.flatnonzero(depth[base:] == level)
-        ends = np.cumsum(size[base + own])
-        start[base + own] = len(flat) + ends - size[base + own]
-        flat = np.concatenate([flat, _spread(flat, start, size, rules[own].ravel())])
+    done = base
+    for own in np.split(np.argsort(depth[base:], kind="stable"), np.cumsum(np.bincount(depth[base:])[1:])[:-1]) if len(rules) else []:
+        ends = np.cumsum(size[base + own], dtype=kind)
+        start[base + own] = done + ends - size[base + own]
+        flat[done : done + ends[-1]] = _spread(flat, start, size, rules[own].ravel())
+        done += int(ends[-1])
     return _spread(flat, start, size, symbols)
 
 
 def _lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """Expansion length of each rule. A rule uses symbols of earlier rules only."""
-    out: list[int] = []
-    for a, b in rules.tolist():
-        out.append((out[a - base] if a >= base else 1) + (out[b - base] if b >= base else 1))
-    return np.array(out, np.int64)
+    out = np.ones(base + len(rules), np.int64)
+    while len(rules):
+        new = out[rules].sum(1)
+        if (new == out[base:]).all():
+            break
+        out[base:] = new
+    return out[base:]
+
+
+def _to_bytes(symbols: np.ndarray, width: int) -> bytes:
+    return symbols.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def _from_bytes(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 4), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return out.view("<u4").ravel().astype(np.int64)
 
 
 def pack(ids: list[np.ndarray], base: int) -> dict:
-    """One block: the grammar of a run of documents."""
+    """One block: the grammar of a run of documents. Its symbols have as many
+    bytes (2 to 4) as the number of its rules asks for."""
     sizes = np.array([len(x) for x in ids], np.int64)
     flat = np.concatenate(ids)
     last = np.zeros(len(flat), bool)
     last[np.cumsum(sizes) - 1] = True
-    width = 2 if base < 1 << 16 else 4
-    symbols, ends, codes = compress(flat, last, base, width)
-    rules = np.stack([codes >> codes.dtype.type(8 * width), codes & codes.dtype.type((1 << (8 * width)) - 1)], 1)
-    kind = f"<u{width}"
+    symbols, ends, codes = compress(flat, last, base)
+    width = max(2, -(-(base + len(codes) - 1).bit_length() // 8))
+    rules = np.stack([codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)], 1)
     return {
         "n_tokens": int(sizes.sum()),
         "doc_tokens": sizes,
         "doc_symbols": np.diff(np.concatenate(([0], np.flatnonzero(ends) + 1))),
         "base": base,
         "width": width,
-        "rules": rules.astype(kind).tobytes(),
-        "rule_lengths": _lengths(rules, base).astype("<u4").tobytes(),
-        "symbols": symbols.astype(kind).tobytes(),
+        "rules": _to_bytes(rules, width),
+        "rule_lengths": _lengths(rules.astype(np.int64), base).astype("<u4").tobytes(),
+        "symbols": _to_bytes(symbols, width),
     }
 
 
 def unpack(block: dict, doc: int | None = None) -> np.ndarray:
     """Ids of a block, or of its ``doc``-th document only: then only that
     document's symbols are read and expanded."""
-    kind, base = f"<u{block['width']}", block["base"]
-    rules = np.frombuffer(block["rules"], kind).astype(np.int64).reshape(-1, 2)
-    symbols = np.frombuffer(block["symbols"], kind)
+    width, base = block["width"], block["base"]
+    rules = _from_bytes(block["rules"], width).reshape(-1, 2)
     if doc is None:
-        return expand_all(symbols.astype(np.int64), base, rules, np.frombuffer(block["rule_lengths"], "<u4"))
+        return expand_all(_from_bytes(block["symbols"], width), base, rules, np.frombuffer(block["rule_lengths"], "<u4"))
     start = int(np.sum(block["doc_symbols"][:doc]))
-    symbols = symbols[start : start + int(block["doc_symbols"][doc])]
-    return expand(symbols.astype(np.int64), base, rules[:, 0], rules[:, 1])
+    symbols = block["symbols"][start * width : (start + int(block["doc_symbols"][doc])) * width]
+    return expand(_from_bytes(symbols, width), base, rules[:, 0], rules[:, 1])
 
 
 def token_at(block: dict, place: int) -> int:
     """The id at a place of the block: stored expansion lengths lead to it
     without decoding what lies before."""
-    kind, base = f"<u{block['width']}", block["base"]
-    rules = np.frombuffer(block["rules"], kind).astype(np.int64).reshape(-1, 2)
+    width, base = block["width"], block["base"]
+    rules = _from_bytes(block["rules"], width).reshape(-1, 2)
     long = np.concatenate([np.ones(base, np.int64), np.frombuffer(block["rule_lengths"], "<u4").astype(np.int64)])
-    symbols = np.frombuffer(block["symbols"], kind).astype(np.int64)
+    symbols = _from_bytes(block["symbols"], width)
     ends = np.cumsum(long[symbols])
     i = int(np.searchsorted(ends, place, side="right"))
     rest, s = place - int(ends[i] - long[symbols[i]]), int(symbols[i])

@@ -117,6 +117,32 @@ def test_repeats_are_compressed():
     assert len(block["symbols"]) < 2 * 8004 / 8
 
 
+def test_no_pair_is_left_twice():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(3, 5000, 3000)
+    ids = [np.append(np.concatenate([rng.integers(3, 5000, 40), passage]), 2).astype(np.uint32) for _ in range(2)]
+    ids += [np.array([*([7] * k), 2], np.uint32) for k in (1, 2, 3, 9, 700)]
+    ids += [np.array([11, 12, *rng.integers(3, 5000, 20), 2], np.uint32) for _ in range(2)]
+    for base in (5000, 65_530):
+        block = G.pack(ids, base)
+        width = block["width"]
+        symbols = G._from_bytes(block["symbols"], width)
+        rules = G._from_bytes(block["rules"], width).reshape(-1, 2).tolist()
+        docs = np.split(symbols, np.cumsum(block["doc_symbols"])[:-1])
+        seen: set[tuple[int, int]] = set()
+        for doc in docs:
+            k = 0
+            while k + 1 < len(doc):
+                pair = (int(doc[k]), int(doc[k + 1]))
+                assert pair not in seen and list(pair) not in rules
+                seen.add(pair)
+                k += 1 + (len(doc) > k + 2 and doc[k] == doc[k + 1] == doc[k + 2])
+        assert np.frombuffer(block["rule_lengths"], "<u4").max() >= 3000
+        used = np.bincount(np.concatenate([symbols, np.ravel(rules)]), minlength=base + len(rules))
+        assert (used[base:] > 0).all() and width == (2 if base == 5000 else 3)
+        assert (G.unpack(block) == np.concatenate(ids)).all()
+
+
 def test_files_of_odd_rows(spark, odd_docs, tmp_path):
     out = str(tmp_path / "tokens")
     G.write_tokens(odd_docs, out, PATH, block_tokens=2000)
