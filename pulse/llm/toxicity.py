@@ -19,6 +19,7 @@ ORDER = 6
 SHORT = 3
 BITS = 10
 LISTED = 500_000
+PIECE_CHARS = 1 << 22
 CALIBRATION_ROWS = 20_000
 FLUSH = 4_000_000
 WINDOW = 24
@@ -62,7 +63,6 @@ class Model:
 
     grams: Table
     contexts: Table
-    weights: np.ndarray | None = None
 
 
 def gram_codes(text: bytes) -> np.ndarray:
@@ -102,7 +102,7 @@ def _gram_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield out()
 
 
-def fit(train: DataFrame, text: str = "text", toxic: str = "toxic", listed: int = LISTED) -> Model:
+def fit(train: DataFrame, text: str = "text", toxic: str = "toxic") -> DataFrame:
     """Kneser-Ney letter models of the toxic and the ordinary rows of ``train``.
 
     A class's estimate for a letter after ``ORDER - 1`` others is discounted
@@ -116,8 +116,8 @@ def fit(train: DataFrame, text: str = "text", toxic: str = "toxic", listed: int
 
     All rows and all their letters are counted: tasks sum before the shuffle,
     and the sums, contexts and continuation counts stay distributed. The
-    driver and the broadcast hold the ``listed`` grams with an excess that
-    are most frequent among toxic texts; the others back off.
+    result has ``(code, after, ratio)`` of every gram with an excess and, where
+    ``after`` holds, of every context that has one: the ratio of its others.
     """
     rows = train.select(F.col(text).alias("text"), F.col(toxic).cast("int").alias("toxic"))
     grams = rows.mapInArrow(_gram_counter, "code long, n0 long, n1 long")
@@ -134,22 +134,24 @@ def fit(train: DataFrame, text: str = "text", toxic: str = "toxic", listed: int
         want = n * F.lit(whole[int(c)] / max(sum(whole), 1.0))
         left = F.col(f"n{c}") - want - EXCESS * F.sqrt(want) - cut
         both = both.withColumn(f"p{c}", F.when(left > 0, left / F.col(f"c{c}")).otherwise(0.0))
-    both = stored(both.where("p0 + p1 > 0").select("code", "context", "n1", "p0", "p1"), "excess")
-    top = stored(both.orderBy(F.desc("n1"), "code").limit(listed), "listed")
+    both = stored(both.where("p0 + p1 > 0").select("code", "context", "p0", "p1"), "excess")
 
     low = F.col("code").bitwiseAND(F.lit((1 << (BITS * SHORT)) - 1))
     ends = grams.groupBy(low.alias("low")).agg(F.count(F.lit(1)).alias("k"))
     ends = ends.withColumn("before", F.shiftright("low", BITS))
     total = ends.groupBy("before").agg(F.sum("k").alias("of"))
     shared = ends.join(total, "before").select("low", (F.col("k") / F.col("of")).alias("shared"))
-    back = top.groupBy("context").agg((1 - F.sum("p0")).alias("b0"), (1 - F.sum("p1")).alias("b1"))
-    got = top.withColumn("low", low).join(shared, "low").join(back, "context").toPandas()
-    logs = np.log((got["p1"] + got["b1"] * got["shared"]) / (got["p0"] + got["b0"] * got["shared"]))
-    ctx = got.drop_duplicates("context")
-    return Model(
-        Table(got["code"].to_numpy(np.int64), logs.to_numpy(float)),
-        Table(ctx["context"].to_numpy(np.int64), np.log(ctx["b1"] / ctx["b0"]).to_numpy(float)),
-    )
+    back = stored(both.groupBy("context").agg((1 - F.sum("p0")).alias("b0"), (1 - F.sum("p1")).alias("b1")), "back")
+    got = both.withColumn("low", low).join(shared, "low").join(back, "context")
+    ratio = F.log((F.col("p1") + F.col("b1") * F.col("shared")) / (F.col("p0") + F.col("b0") * F.col("shared")))
+    own = got.select("code", F.lit(False).alias("after"), ratio.alias("ratio"))
+    others = back.select(F.col("context").alias("code"), F.lit(True).alias("after"), F.log(F.col("b1") / F.col("b0")).alias("ratio"))
+    return stored(own.unionByName(others), "ratios")
+
+
+def gathered(rows: DataFrame) -> Model:
+    got = rows.toPandas()
+    return Model(*(Table(x["code"].to_numpy(np.int64), x["ratio"].to_numpy(float)) for x in (got[~got["after"]], got[got["after"]])))
 
 
 def features(codes: list[np.ndarray], model: Model) -> np.ndarray:
@@ -170,25 +172,80 @@ def features(codes: list[np.ndarray], model: Model) -> np.ndarray:
     return out
 
 
+SCORED = "doc_id long, n long, mean double, peak double, root double"
+
+
+def _scored(ids: pa.Array, texts: list[bytes], model: Model) -> pa.RecordBatch:
+    codes = [gram_codes(t) for t in texts]
+    got = features(codes, model)
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array([len(c) for c in codes], pa.int64()), *[pa.array(got[:, k].copy()) for k in range(3)]],
+        names=["doc_id", "n", "mean", "peak", "root"],
+    )
+
+
 def _ratios(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
         for part, texts in chunks(batches):
-            codes = [gram_codes(t) for t in texts]
-            got = features(codes, model)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(c) for c in codes], pa.int64()), *[pa.array(got[:, k].copy()) for k in range(3)]],
-                names=["doc_id", "n", "mean", "peak", "root"],
-            )
+            yield _scored(part.column(0), texts, shared.value)
 
     return run
 
 
-def ratios(df: DataFrame, model: Model, id_col: str, text: str) -> DataFrame:
-    """``(doc_id, n, mean, peak, root)`` of every row; ``n`` letters and gaps."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct ``(piece, code)`` of some texts."""
+    for part, texts in chunks(batches):
+        piece, codes = part.column(0).to_numpy(), [gram_codes(t) for t in texts]
+        for p in np.unique(piece):
+            code = np.unique(np.concatenate([codes[k] for k in np.flatnonzero(piece == p)]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), p, np.int32)), pa.array(code)], names=["piece", "code"])
+
+
+def _piecewise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Scores the texts of each piece, which follow the ratios of its codes."""
+    now, held, model, empty = None, [], None, Table(np.empty(0, np.int64), np.empty(0))
+    for part, texts in chunks(batches):
+        piece, is_text = part.column(0).to_numpy(), part.column(3).is_null().to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(np.diff(piece * 2 + is_text)) + 1).tolist(), len(piece)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if piece[a] != now:
+                now, held, model = piece[a], [], None
+            some = part.slice(a, b - a)
+            if not is_text[a]:
+                held.append((some.column(3).to_numpy(), some.column(4).to_numpy()))
+                continue
+            if model is None:
+                flat = [np.concatenate(x) for x in zip(*held, strict=True)]
+                model, held = Model(Table(*flat) if flat else empty, empty), []
+            yield _scored(some.column(1), texts[a:b], model)
+
+
+def _spread_ratios(src: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts in bounded pieces: a piece's distinct codes meet the
+    distributed ratios in a join, and the found ones travel to its texts."""
+    whole = src.agg(F.sum(F.length("text"))).first()[0] or 0
+    n = 1 + int(whole) // PIECE_CHARS
+    src = src.withColumn("piece", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+    needed = src.select("piece", "text").repartition(n, "piece").mapInArrow(_needed, "piece int, code long").distinct()
+    own = rows.where("NOT after").select("code", F.col("ratio").alias("own"))
+    others = rows.where("after").select(F.col("code").alias("context"), F.col("ratio").alias("other"))
+    found = needed.withColumn("context", F.shiftright("code", BITS)).join(others, "context").join(own, "code", "left")
+    found = found.selectExpr("piece", "CAST(NULL AS long) AS doc_id", "CAST(NULL AS string) AS text", "code", "coalesce(own, other) AS ratio")
+    texts = src.selectExpr("piece", "doc_id", "text", "CAST(NULL AS long) AS code", "CAST(NULL AS double) AS ratio")
+    both = found.unionByName(texts).repartition(n, "piece").sortWithinPartitions("piece", F.col("code").isNull())
+    return both.mapInArrow(_piecewise, SCORED)
+
+
+def ratios(df: DataFrame, rows: DataFrame, id_col: str, text: str, listed: int = LISTED) -> DataFrame:
+    """``(doc_id, n, mean, peak, root)`` of every row; ``n`` letters and gaps.
+
+    Up to ``listed`` ratios are broadcast; more stay distributed and are
+    joined to the texts' codes, with the same result.
+    """
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return src.mapInArrow(_ratios(shared), "doc_id long, n long, mean double, peak double, root double")
+    if rows.count() > listed:
+        return _spread_ratios(src, rows)
+    return src.mapInArrow(_ratios(df.sparkSession.sparkContext.broadcast(gathered(rows))), SCORED)
 
 
 def calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -210,15 +267,17 @@ def toxicity(
     text: str = "text",
     toxic: str = "toxic",
     calibration_rows: int = CALIBRATION_ROWS,
+    listed: int = LISTED,
 ) -> DataFrame:
     """``(id, score, predicted)`` of every row of ``df``.
 
     ``labels`` has the ids that may be learnt from and ``toxic`` 0 or 1; of
     several labels of an id the largest counts, NULL labels are left out. The
-    models are fitted on four fifths of the labelled rows by a hash of the
-    id; the logistic curve that turns length-normalised ratios into a score
-    is fitted on the first ``calibration_rows`` of the other fifth in hash
-    order. A text without words, NULL included, scores 0, and so does every
+    logistic curve that turns length-normalised ratios into a score is fitted
+    on a fifth of the labelled rows by a hash of the id, ``calibration_rows``
+    at most in hash order; the models are fitted on all others, where equal
+    texts of a class count once. Ratios beyond ``listed`` are not gathered.
+    A text without words, NULL included, scores 0, and so does every
     text when one of the classes has no labelled row. Columns other than id
     and text are not read; repeated rows are scored alike.
     """
@@ -229,18 +288,22 @@ def toxicity(
     # Of equal texts of one class one is learnt from, so copies do not weigh.
     once = rows.groupBy("_toxic", F.xxhash64(text).alias("_h")).agg(F.min(id_col).alias(id_col)).select(id_col)
     known = stored(known.join(once, id_col, "left_semi"), "labels")
+    held = known.where("_part = 0").orderBy(F.xxhash64(id_col), id_col).limit(calibration_rows)
+    held = stored(held.select(id_col, F.lit(True).alias("_held")), "held")
+    known = known.join(F.broadcast(held), id_col, "left").withColumn("_held", F.coalesce("_held", F.lit(False)))
     rows = with_small_side(df.select(id_col, text), known, id_col, 24)
-    model = fit(rows.where("_part <> 0"), text, "_toxic")
-    tested = ratios(rows.where("_part = 0"), model, id_col, text).withColumnRenamed("doc_id", id_col)
+    model = fit(rows.where("NOT _held"), text, "_toxic")
+    tested = ratios(rows.where("_held"), model, id_col, text, listed).withColumnRenamed("doc_id", id_col)
     tested = with_small_side(tested.where("n > 0"), known, id_col, 24)
     got = tested.orderBy(F.xxhash64(id_col), id_col, "n", "mean").limit(calibration_rows).toPandas()
+    weights = None
     if got["_toxic"].nunique() == 2:
-        model.weights = calibrate(got[["mean", "peak", "root"]].to_numpy(), got["_toxic"].to_numpy(float))
-    out = ratios(df, model, id_col, text)
-    if model.weights is None:
+        weights = calibrate(got[["mean", "peak", "root"]].to_numpy(), got["_toxic"].to_numpy(float))
+    out = ratios(df, model, id_col, text, listed)
+    if weights is None:
         score = F.lit(0.0)
     else:
-        b, *w = [float(x) for x in model.weights]
+        b, *w = [float(x) for x in weights]
         line = F.lit(b) + F.lit(w[0]) * F.col("mean") + F.lit(w[1]) * F.col("peak") + F.lit(w[2]) * F.col("root")
         score = F.when(F.col("n") > 0, 1 / (1 + F.exp(-line))).otherwise(0.0)
     return out.select(F.col("doc_id").alias(id_col), score.alias("score")).withColumn(

@@ -112,6 +112,28 @@ def test_toxic_words_are_learnt(spark, odd_docs):
     assert T.toxicity(odd_docs.limit(0), df.select("doc_id", "toxic")).count() == 0
 
 
+def marked(spark, n=300):
+    rng = random.Random(9)
+    plain = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 8))) for _ in range(200)]
+    rows = [(i, " ".join([*rng.choices(plain, k=30), *(["jerkface", "dimwit"] if i % 5 == 0 else [])]), int(i % 5 == 0)) for i in range(n)]
+    return spark.createDataFrame([*rows, (n, None, 0), (n + 1, "12 !", 0)], "doc_id long, text string, toxic int")
+
+
+def test_distributed_ratios_score_alike(spark, monkeypatch):
+    monkeypatch.setattr(T, "PIECE_CHARS", 9000)
+    df = marked(spark)
+    one, many = (T.toxicity(df, df.select("doc_id", "toxic"), listed=k).toPandas().set_index("doc_id").sort_index() for k in (T.LISTED, 0))
+    assert one.predicted.sum() >= 50 and len(many) == 302
+    assert (many.predicted == one.predicted).all() and many.score.to_numpy() == pytest.approx(one.score.to_numpy(), abs=1e-9)
+
+
+def test_rows_not_held_back_are_learnt_from(spark, monkeypatch):
+    df, seen, fit = marked(spark), [], T.fit
+    monkeypatch.setattr(T, "fit", lambda train, *a: seen.append(train.count()) or fit(train, *a))
+    assert T.toxicity(df, df.select("doc_id", "toxic"), calibration_rows=10).count() == 302
+    assert seen == [292]
+
+
 # -- quality and mixing ----------------------------------------------------
 
 
