@@ -284,8 +284,8 @@ def stream_dedup(spark, d):
     landed, folder = run_dir(spark, "landed"), run_dir(spark, "dedup")
     events = table(spark, d, "events")
     for part in (1, 2, 0):
-        events.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(landed)
-        T.dedup_history(event_stream(spark, landed, "*.parquet", 1), folder, "dup_id").awaitTermination()
+        events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(landed)
+        T.dedup_history(event_stream(spark, landed, "*.parquet"), folder, "dup_id").awaitTermination()
     return T.read_batches(spark, folder).select("dup_id")
 
 

@@ -106,6 +106,19 @@ def test_history_keeps_late_keys_and_drops_distant_copies(spark, tmp_path):
     assert got == [("a", 3), ("b", 6), ("late", 1)]
 
 
+def test_landings_are_written_and_read_in_parallel(spark, folder, tmp_path, monkeypatch):
+    import pulse.plans.source_queries as Q
+
+    whole = Q.table
+    monkeypatch.setattr(Q, "table", lambda *a: whole(*a).repartition(4))
+    monkeypatch.setattr(Q, "run_dir", lambda spark, name: str(tmp_path / name))
+    keys = [r.dup_id for r in QUERIES["stream_dedup"](spark, folder).collect()]
+    want = {i - (i % 33 == 32) for (i,) in whole(spark, folder, "events").select("event_id").collect()}
+    assert sorted(keys) == sorted(f"p{i}" for i in want)
+    assert len(list((tmp_path / "landed").glob("*.parquet"))) == 12
+    assert len(list((tmp_path / "dedup" / "rows").glob("batch=*"))) == 3
+
+
 def test_ingest_counts_the_run_and_tells_timeouts(spark, tmp_path):
     src, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
     _land(spark, src, [("a", "2024-01-01 00:00:00", 1.0), ("b", "2024-01-01 05:00:00", 2.0)])
