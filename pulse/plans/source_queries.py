@@ -266,7 +266,9 @@ _CLOSED = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM even
 @query("stream_daily_activity", f"""SELECT strftime(b, '%Y-%m-%d') AS bucket, count(*) AS volume, sum(floor("value" * 10)) AS engagement_sum FROM (
   SELECT *, date_trunc('day', ts) AS b FROM events) WHERE b + INTERVAL 1 DAY <= {_CLOSED} GROUP BY b""")
 def stream_daily_activity(spark, d):
-    out = finished(spark, T.activity_stream(event_stream(spark, d)), "activity")
+    folder = run_dir(spark, "activity")
+    T.window_batches(event_stream(spark, d), folder, T.activity_sums()).awaitTermination()
+    out = T.closed_windows(spark, folder)
     return out.select(F.date_format("bucket", "yyyy-MM-dd").alias("bucket"), "volume", "engagement_sum")
 
 
@@ -274,10 +276,40 @@ def stream_daily_activity(spark, d):
   SELECT *, date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) AS b FROM events, generate_series(0, 6) t(k))
 WHERE b + INTERVAL 7 DAY <= {_CLOSED} GROUP BY b""")
 def stream_weekly_activity(spark, d):
-    out = finished(spark, T.activity_stream(event_stream(spark, d), "7 days", "1 day"), "weekly")
+    folder = run_dir(spark, "weekly")
+    T.window_batches(event_stream(spark, d), folder, T.activity_sums(), "7 days", "1 day").awaitTermination()
+    out = T.closed_windows(spark, folder)
     return out.select(F.date_format("bucket", "yyyy-MM-dd").alias("bucket"), "volume", "engagement_sum")
 
 
+_PARTS = """SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS b, CASE
+  WHEN event_id % 3 = 0 AND ts < (SELECT date_trunc('day', min(ts)) FROM events) + INTERVAL 20 DAY THEN 0 WHEN event_id % 3 = 1 THEN 1 ELSE 2 END AS part FROM events"""
+
+
+def in_parts(spark, d):
+    """Events landing in three parts, the third with rows of all days."""
+    events = table(spark, d, "events")
+    first = F.date_trunc("day", events.select(F.min("ts")).scalar())
+    early = F.col("ts") < first + F.expr("INTERVAL 20 DAY")
+    part = F.when((F.col("event_id") % 3 == 0) & early, 0).when(F.col("event_id") % 3 == 1, 1).otherwise(2)
+    for k in range(3):
+        yield events.where(part == k)
+
+
+@query("stream_late_rows", f"""WITH p AS ({_PARTS}), m AS (SELECT 0 AS part, NULL::TIMESTAMP AS w UNION ALL
+  SELECT k, (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM p WHERE part < k) FROM (VALUES (1), (2)) v(k)),
+c AS (SELECT part, coalesce(b + INTERVAL 1 DAY <= w, false) AS late FROM p JOIN m USING (part))
+SELECT part AS batch, count(*) AS n_read, count(*) FILTER (NOT late) AS n_counted, count(*) FILTER (late) AS n_late FROM c GROUP BY part""")
+def stream_late_rows(spark, d):
+    landed, folder = run_dir(spark, "landed"), run_dir(spark, "late")
+    for rows in in_parts(spark, d):
+        rows.write.mode("append").parquet(landed)
+        T.window_batches(event_stream(spark, landed, "*.parquet"), folder, T.activity_sums()).awaitTermination()
+    late = T.late_rows(spark, folder).groupBy("batch").agg(F.count(F.lit(1)).alias("n_late"))
+    counts = T.batch_counts(spark, folder).select("batch", "n_read", "n_counted")
+    return counts.join(late, "batch", "left").select("batch", "n_read", "n_counted", F.coalesce("n_late", F.lit(0)).alias("n_late"))
+
+
 @query("stream_dedup", "SELECT DISTINCT 'p' || (CASE WHEN event_id % 33 = 32 THEN event_id - 1 ELSE event_id END) AS dup_id FROM events")
 def stream_dedup(spark, d):
     # files out of event order, copies far apart: every third event lands last
@@ -309,6 +341,19 @@ def stream_spikes(spark, d):
     return out.select(F.date_format("bucket", "yyyy-MM-dd").alias("bucket"), "volume", F.round("vol_zscore", 6).alias("vol_zscore"), "is_spike")
 
 
+@query("stream_keyed_spikes", f"""WITH series AS (SELECT b AS bucket, event_type, count(*) AS volume FROM (
+  SELECT *, date_trunc('day', ts) AS b FROM events) WHERE b + INTERVAL 1 DAY <= {_CLOSED} GROUP BY b, event_type),
+vol AS (SELECT *, avg(volume) OVER w AS m, coalesce(stddev_samp(volume) OVER w, 0) AS s FROM series
+  WINDOW w AS (PARTITION BY event_type ORDER BY bucket ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
+SELECT strftime(bucket, '%Y-%m-%d') AS bucket, event_type, volume, round((volume - m) / (s + 1e-9), 6) + 0.0 AS vol_zscore,
+  coalesce((volume - m) / (s + 1e-9) > 2.0, false) AS is_spike FROM vol""")
+def stream_keyed_spikes(spark, d):
+    folder = run_dir(spark, "keyed-spikes")
+    T.spike_stream(T.activity_stream(event_stream(spark, d), by=["event_type"]), folder, by=["event_type"]).awaitTermination()
+    out = T.read_batches(spark, folder)
+    return out.select(F.date_format("bucket", "yyyy-MM-dd").alias("bucket"), "event_type", "volume", F.round("vol_zscore", 6).alias("vol_zscore"), "is_spike")
+
+
 def document_stream(spark, d):
     schema = table(spark, d, "documents").schema
     s = T.ingest_stream(spark, d, schema, pattern="documents.parquet")
@@ -324,8 +369,10 @@ SELECT strftime(b, '%Y-%m-%d') AS bucket, round(avg(s), 6) AS sentiment_mean, co
   SELECT *, ts - to_days(CAST(k AS INTEGER)) AS b FROM docs, generate_series(0, 6) t(k))
 WHERE b + INTERVAL 7 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM docs) GROUP BY b""")
 def stream_sentiment(spark, d):
-    out = finished(spark, T.sentiment_stream(document_stream(spark, d)), "sentiment")
-    return out.select(F.date_format("bucket", "yyyy-MM-dd").alias("bucket"), F.round("sentiment_mean", 6).alias("sentiment_mean"), "n")
+    folder = run_dir(spark, "sentiment")
+    T.window_batches(document_stream(spark, d), folder, T.sentiment_sums(), "7 days", "1 day").awaitTermination()
+    mean = F.round(F.col("sentiment_sum") / F.col("n"), 6).alias("sentiment_mean")
+    return T.closed_windows(spark, folder).select(F.date_format("bucket", "yyyy-MM-dd").alias("bucket"), mean, "n")
 
 
 @query("stream_scored")

@@ -157,6 +157,71 @@ def test_spike_stream_over_two_runs_equals_batch(spark, tmp_path):
     assert any(v[1] for v in got.values()) and len(got) >= 12
 
 
+def test_keyed_spikes_over_files_out_of_order_equal_the_batch_query(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "post_id string, ts timestamp, engagement_metric double, source string"
+    size = {"a": [3, 4, 3, 3, 5, 3, 60, 3, 3, 2, 3, 50, 3, 3], "b": [9, 9, 8, 9, 9, 70, 9, 9, 9, 9, 9, 1, 9, 90], None: [1, 1, 1, 1, 1, 1, 1, 1, 9, 1, 1, 1, 1, 1]}
+    rows = [(f"{k}{d}-{i}", f"2024-01-{d + 1:02d} {i % 24:02d}:00:00", float(i % 3), k) for k, n in size.items() for d in range(14) for i in range(n[d])]
+    made = spark.createDataFrame(rows, "post_id string, ts string, engagement_metric double, source string")
+    made = made.withColumn("ts", F.col("ts").cast("timestamp"))
+    # Three landings; inside the first two the later days come in the earlier files.
+    for lo, hi in ((1, 6), (6, 11), (11, 15)):
+        part = made.where((F.dayofmonth("ts") >= lo) & (F.dayofmonth("ts") < hi))
+        part.repartitionByRange(3, F.col("ts").desc()).write.mode("append").parquet(src)
+        stream = T.ingest_stream(spark, src, StructType.fromDDL(schema))
+        T.spike_stream(T.activity_stream(stream, by=["source"]), out, by=["source"]).awaitTermination()
+    columns = ["source", "bucket", "volume", "vol_zscore", "eng_zscore", "is_spike", "is_eng_spike"]
+    got = T.read_batches(spark, out)
+    batch = S.spikes(S.activity(made, ts="ts", by=["source"]), by=["source"]).where("bucket < timestamp'2024-01-13'")
+
+    def rounded(df):
+        return sorted(map(str, (tuple(round(x, 9) + 0.0 if isinstance(x, float) else x for x in r) for r in df.select(*columns).collect())))
+
+    assert rounded(got) == rounded(batch) and got.where("is_spike").count() >= 3
+    assert len(list((tmp_path / "out" / "rows").glob("batch=*"))) >= 3
+
+
+def test_late_rows_are_kept_aside_and_counted(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    days = {0: [5, 6, 7], 1: [1, 6, 9, 12], 2: [2, 8, 11, 13]}
+    everything = []
+    for k, own in days.items():
+        rows = [(f"{k}-{d}-{i}", f"2024-01-{d:02d} 0{i}:00:00", 1.0) for d in own for i in range(3)] + [(f"{k}-none", None, 1.0)]
+        everything += [(k, *r) for r in rows]
+        _land(spark, src, rows)
+        stream = T.ingest_stream(spark, src, StructType.fromDDL(SCHEMA))
+        T.window_batches(stream, out, T.activity_sums(), "2 days", "1 day").awaitTermination()
+    # After part 0 the watermark is Jan 6, 02:00; after part 1 Jan 11, 02:00.
+    late = {(r.batch, r.post_id) for r in T.late_rows(spark, out).collect()}
+    want = {(k, i) for k, i, t, _ in everything if t is None or (k == 1 and t < "2024-01-05") or (k == 2 and t < "2024-01-10")}
+    assert late == want
+    counts = {r.batch: (r.n_read, r.n_counted, r.n_late) for r in T.batch_counts(spark, out).collect()}
+    assert all(n == c + b for n, c, b in counts.values())
+    assert counts == {k: (n := sum(e[0] == k for e in everything), n - (b := sum(x[0] == k for x in want)), b) for k in days}
+    closed = {str(r.bucket.date()): r.volume for r in T.closed_windows(spark, out).collect()}
+    # A row that lost one of its windows still counts in the other.
+    assert closed["2024-01-05"] == 6 + 3 and closed["2024-01-08"] == 3 and closed["2024-01-09"] == 3
+    assert max(closed) == "2024-01-10" and len(closed) == len(T.closed_windows(spark, out).collect())
+
+
+def test_history_reads_keys_of_the_batch_only(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    progress = []
+    for k in range(3):
+        rows = [(f"k{i}", f"2024-01-0{k + 1} 00:00:00", float(k)) for i in range(100 * k, 100 * k + 110)] + [(None, "2024-01-01 00:00:00", 1.0)] * 2
+        _land(spark, src, rows)
+        q = T.dedup_history(T.ingest_stream(spark, src, StructType.fromDDL(SCHEMA)), out)
+        q.awaitTermination()
+        progress.append([p for p in q.recentProgress if p["numInputRows"]][-1])
+    keys = [r.post_id for r in T.read_batches(spark, out).collect()]
+    assert len(keys) == len(set(keys)) == 311 and keys.count(None) == 1
+    # The state holds all keys; a batch reads its own rows and adds its new keys.
+    assert [p["numInputRows"] for p in progress] == [112, 112, 112]
+    assert [p["stateOperators"][0]["numRowsUpdated"] for p in progress] == [111, 100, 100]
+    assert progress[-1]["stateOperators"][0]["numRowsTotal"] == 311
+    assert "rocksdbGetCount" in progress[-1]["stateOperators"][0]["customMetrics"]
+
+
 # Fitting several models on the driver data takes minutes, so only the quick ones run here.
 QUICK = [
     "negation_feature_gain", "seed_stability", "feature_weights", "scored_posts", "stream_scored", "phase_topics",
