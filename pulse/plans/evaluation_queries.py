@@ -143,6 +143,12 @@ def purged_test_rows(spark, d):
     return Z.purge(test, Z.leaked_ids(test, train)).select("id", "lang")
 
 
+@query("near_duplicate_counts", with_(*_SETS) + "SELECT l AS id, count(*) AS n_near FROM near GROUP BY l")
+def near_duplicate_counts(spark, d):
+    test, train = _sides(spark, d)
+    return Z.near_counts(test, train)
+
+
 @query("near_duplicate_sets_lsh")
 def near_duplicate_sets_lsh(spark, d):
     test, train = _sides(spark, d)

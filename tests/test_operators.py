@@ -255,6 +255,69 @@ def test_lsh_reports_no_false_pair(spark, crowd):
         assert _jaccard(crowd[r.left_id], crowd[r.right_id]) >= 0.8
 
 
+def _links(members, pairs):
+    """All pairs that a crowd result stands for, as smallest ids of sets."""
+    sides = {side: [r for r in members if r.side == side] for side in ("left", "right")}
+    inside = {(a.id, b.id) for a in sides["left"] for b in sides["right"] if a.crowd == b.crowd}
+    listed = {(r.left_id, r.right_id) for r in pairs}
+    assert len(listed) == len(pairs) and not inside & listed
+    return inside | listed
+
+
+@pytest.mark.parametrize("known", [False, True])
+def test_crowds_stand_for_all_pairs(spark, crowd, known):
+    df = spark.createDataFrame(list(enumerate(crowd)), "id long, text string")
+    test, train = df.where("id % 4 = 0"), df.where("id % 4 <> 0")
+    want = {(r.left_id, r.right_id) for r in Z.similar_sets(test, train, known_vocab_only=known).collect()}
+    members, pairs = Z.similar_crowds(test, train, known_vocab_only=known)
+    assert _links(members.collect(), pairs.collect()) == want
+    counts = {r.id: r.n_near for r in Z.near_counts(test, train, known_vocab_only=known).collect()}
+    assert counts == {r.id: r.n_near for r in Z.leaked_rows(test, train, known_vocab_only=known).collect()}
+
+
+def test_a_large_crowd_takes_linear_rows(spark):
+    rnd = random.Random(11)
+    base = [f"w{k}x" for k in range(150)]
+    texts = []
+    for k in range(5000):
+        t = list(base)
+        t[rnd.randrange(150)] = f"own{k}y"
+        texts.append(" ".join(t))
+    texts += [" ".join(f"other{k}z{j}" for j in range(30)) for k in range(20)] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    test, train = df.where("id % 5 = 0"), df.where("id % 5 <> 0")
+    members, pairs = Z.similar_crowds(test, train)
+    members, pairs = members.collect(), pairs.collect()
+    assert len(members) <= len(texts) and len(pairs) <= 40
+    counts = {r.id: r.n_near for r in Z.near_counts(test, train).collect()}
+    # Two texts with one word changed in 150 share 142 of 154 grams at least.
+    assert all(counts[k] == 4000 for k in range(0, 5000, 5))
+    far = [k for k in range(5000, len(texts)) if k % 5 == 0]
+    twin = {k: k + 20 if k < 5020 else k - 20 for k in far}
+    assert {k: n for k, n in counts.items() if k >= 5000} == {k: 1 for k in far if twin[k] % 5}
+
+
+def test_banded_minhash_finds_most_and_compares_few(spark):
+    rnd = random.Random(5)
+    boiler = [f"b{k}x" for k in range(12)]
+    texts = []
+    for _ in range(150):
+        own = [f"w{rnd.randrange(5000)}x" for _ in range(80)]
+        for _ in range(3):
+            t = list(own)
+            for _ in range(rnd.randrange(3)):
+                t[rnd.randrange(80)] = f"n{rnd.randrange(9999)}y"
+            texts.append(" ".join(boiler + t))
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    test, train = df.where("id % 3 = 0"), df.where("id % 3 <> 0")
+    exact = {(r.left_id, r.right_id) for r in Z.similar_sets(test, train).collect()}
+    near = {(r.left_id, r.right_id) for r in Z.similar_pairs_lsh(test, train).collect()}
+    assert near <= exact and len(near) >= 0.9 * len(exact) > 100
+    sets = [Z._bands(Z._groups(Z._gram_sets(x, "id", "text", 3)), 16, 5, 42) for x in (test, train)]
+    compared = sets[0].toDF("l", "band").join(sets[1].toDF("r", "band"), "band").select("l", "r").distinct().count()
+    assert compared <= 2 * len(exact)  # of 150 x 300 pairs that share the boilerplate
+
+
 def test_append_new_keeps_existing(spark):
     old = spark.createDataFrame([("a", 1)], "k string, v int")
     new = spark.createDataFrame([("a", 2), ("b", 4), ("b", 3)], "k string, v int")

@@ -175,7 +175,7 @@ def test_keyed_spikes_over_files_out_of_order_equal_the_batch_query(spark, tmp_p
     batch = S.spikes(S.activity(made, ts="ts", by=["source"]), by=["source"]).where("bucket < timestamp'2024-01-13'")
 
     def rounded(df):
-        return sorted(map(str, (tuple(round(x, 9) + 0.0 if isinstance(x, float) else x for x in r) for r in df.select(*columns).collect())))
+        return sorted(map(str, (tuple(round(x, 6) + 0.0 if isinstance(x, float) else x for x in r) for r in df.select(*columns).collect())))
 
     assert rounded(got) == rounded(batch) and got.where("is_spike").count() >= 3
     assert len(list((tmp_path / "out" / "rows").glob("batch=*"))) >= 3
