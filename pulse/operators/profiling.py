@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulse.functions.values import bin_index
-from pulse.operators.ranking import quantiles
+from pulse.operators.ranking import quantiles, running_totals
+from pulse.session import stored
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -163,28 +165,88 @@ def histogram(df: DataFrame, value: Column, lo: float, hi: float, bins: int, by:
     return binned.groupBy(*(by or []), "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Rank error of the sketch, as a share of the rows, is one in ACCURACY.
+ACCURACY = 10_000
+
+
+def _bracketed(probs: list[float], sketch: list[float], n: int) -> list[tuple[float, float]]:
+    """For each quantile two values it lies between. The sketch was asked two
+    errors to either side, so its answers are on the right side by one error,
+    which is a row or more from ``2 * ACCURACY`` rows on; shorter columns are
+    taken whole."""
+    if n <= 2 * ACCURACY:
+        return [(float("-inf"), float("inf"))] * len(probs)
+    return [(sketch[2 * k], sketch[2 * k + 1]) for k in range(len(probs))]
+
+
 def outliers(df: DataFrame, cols: list[str], k: float = 1.5, z: float = 3.0) -> DataFrame:
-    """Rows beyond the quartile fences and beyond ``z`` deviations."""
-    q = quantiles(df, cols, {"q1": 0.25, "q3": 0.75})
-    fences = q.agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("q1", "q3"))))).scalar()
-    moments = df.agg(
-        *[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in cols]
-    ).select(F.struct(*cols)).scalar()
-
-    def row(c: str) -> Column:
-        q1, q3 = fences[c]["q1"], fences[c]["q3"]
-        beyond = (F.col(c) < q1 - k * (q3 - q1)) | (F.col(c) > q3 + k * (q3 - q1))
-        far = F.abs(F.try_divide(F.col(c) - moments[c]["mean"], moments[c]["std"])) > z
-        return F.struct(
-            F.count_if(beyond).alias("iqr_outliers"), F.count_if(far).alias("z_outliers"), F.count(c).alias("total_non_null")
-        ).alias(c)
-
-    rows = df.agg(*[row(c) for c in cols]).unpivot([], cols, "column", "s")
-    return rows.select(
-        "column",
-        "s.*",
-        F.round(F.try_divide(F.col("s.iqr_outliers") * 100.0, F.col("s.total_non_null")), 2).alias("iqr_pct"),
+    """Rows beyond the quartile fences and beyond ``z`` deviations.
+
+    Exact in two scans, and no column is shuffled. The first takes moments and
+    a sketch that brackets the quartiles, which brackets the fences too. In
+    the second, cells outside all brackets are only counted by where they lie;
+    cells inside one are counted by value. Quartiles and counts are read off
+    that table, whose rows follow the sketch's error and not the data.
+    """
+    probs, err = [0.25, 0.75], 2.0 / ACCURACY
+    asked = [x for p in probs for x in (p - err, p + err)]
+    numbers = {c: F.col(c).cast("double") for c in cols}
+    facts = df.agg(
+        *[
+            F.struct(
+                F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.count(v).alias("n"),
+                F.percentile_approx(v, asked, F.lit(ACCURACY)).alias("sketch"),
+            ).alias(c)
+            for c, v in numbers.items()
+        ]
+    ).first()
+    cells, bounds = [], []
+    for c, v in numbers.items():
+        one = facts[c]
+        (l1, h1), (l3, h3) = _bracketed(probs, one["sketch"], one["n"])
+        # Wide enough for the rounding of the fences' own formula.
+        pad = 1e-9 * max(map(abs, (l1, h1, l3, h3)), default=0.0) if one["n"] > 2 * ACCURACY else 0.0
+        low = (l1 * (1 + k) - k * h3 - pad, h1 * (1 + k) - k * l3 + pad)
+        high = (l3 * (1 + k) - k * h1 - pad, h3 * (1 + k) - k * l1 + pad)
+        spans = [low, (l1, h1), (l3, h3), high] if one["n"] > 2 * ACCURACY else [(l1, h1)] * 4
+        inside = reduce(lambda x, y: x | y, [(v >= F.lit(a)) & (v <= F.lit(b)) for a, b in spans])
+        over = sum((F.when(v > F.lit(b), 1 << i).otherwise(0) for i, (_, b) in enumerate(spans)), F.lit(0))
+        far = F.coalesce(F.abs(F.try_divide(v - F.lit(one["mean"]), F.lit(one["std"]))) > z, F.lit(False))
+        cells.append(
+            F.struct(F.lit(c).alias("column"), F.when(inside, v).alias("value"), F.when(inside, -1).otherwise(over).alias("over"), far.alias("far"), v.isNotNull().alias("some"))
+        )
+        bounds.append((c, *(float(x) for s in spans[1:3] for x in s)))
+    seen = df.select(F.explode(F.array(*cells)).alias("c")).where("c.some").select("c.*")
+    counted = stored(seen.groupBy("column", "value", "over", "far").agg(F.count(F.lit(1)).alias("n")), "brackets")
+    spark = df.sparkSession
+    near = spark.createDataFrame(bounds, "column string, l1 double, h1 double, l3 double, h3 double")  # one row a column
+    table = counted.join(F.broadcast(near), "column")
+    quartile = {}
+    for p, lo, hi, bit, name in ((0.25, "l1", "h1", 1, "q1"), (0.75, "l3", "h3", 2, "q3")):
+        before = (F.col("value") < F.col(lo)) | ((F.col("over") >= 0) & (F.col("over").bitwiseAND(1 << bit) == 0))
+        ahead = table.groupBy("column").agg(F.sum(F.when(before, F.col("n")).otherwise(0)).alias("ahead"), F.sum("n").alias("rows"))
+        held = table.where(F.col("value").between(F.col(lo), F.col(hi))).groupBy("column", "value").agg(F.sum("n").alias("n"))
+        run = running_totals(held, "value", ["n"], ["column"], few_groups=True).join(F.broadcast(ahead), "column")
+        first, at = F.col("ahead") + F.col("n_before"), F.lit(p) * (F.col("rows") - 1)
+
+        def value(index: Column, first=first) -> Column:
+            return F.max(F.when((first <= index) & (index < first + F.col("n")), F.col("value")))
+
+        ends = run.groupBy("column").agg(value(F.floor(at)).alias("lo"), value(F.ceil(at)).alias("hi"), F.max(at - F.floor(at)).alias("w"))
+        quartile[name] = ends.select("column", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("w")).alias(name))
+    fences = quartile["q1"].join(quartile["q3"], "column")
+    reach = F.lit(k) * (F.col("q3") - F.col("q1"))
+    below = F.when(F.col("over") < 0, F.col("value") < F.col("q1") - reach).otherwise(F.col("over") == 0)
+    above = F.when(F.col("over") < 0, F.col("value") > F.col("q3") + reach).otherwise(F.col("over").bitwiseAND(8) > 0)
+    rows = counted.join(F.broadcast(fences), "column").groupBy("column").agg(
+        F.sum(F.when(below | above, F.col("n")).otherwise(0)).alias("iqr_outliers"),
+        F.sum(F.when(F.col("far"), F.col("n")).otherwise(0)).alias("z_outliers"),
+        F.sum("n").alias("total_non_null"),
     )
+    rows = spark.createDataFrame([(c,) for c in cols], "column string").join(rows, "column", "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("iqr_outliers", "z_outliers", "total_non_null")]
+    rows = rows.select("column", *counts)
+    return rows.withColumn("iqr_pct", F.round(F.try_divide(F.col("iqr_outliers") * 100.0, F.col("total_non_null")), 2))
 
 
 def null_patterns(df: DataFrame) -> DataFrame:

@@ -255,6 +255,38 @@ def test_lsh_reports_no_false_pair(spark, crowd):
         assert _jaccard(crowd[r.left_id], crowd[r.right_id]) >= 0.8
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, 500, 60_000])
+def test_outliers_from_brackets_are_exact(spark, tmp_path, n):
+    rng = np.random.default_rng(n)
+    cols = {
+        "normal": rng.normal(50, 9, n), "heavy": rng.standard_cauchy(n), "same": np.full(n, 4.0),
+        "steps": rng.integers(0, 6, n).astype(float), "skewed": np.where(rng.random(n) < 0.3, 7.0, rng.exponential(3, n)),
+    }
+    rows = [tuple(float(v) if (i + k) % 11 else None for k, v in enumerate(r)) for i, r in enumerate(zip(*cols.values(), strict=True))]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(6)
+    df.write.parquet(str(tmp_path / "t"))
+    got = {r["column"]: r for r in Q.outliers(spark.read.parquet(str(tmp_path / "t")), list(cols)).collect()}
+    assert set(got) == set(cols)
+    for k, c in enumerate(cols):
+        v = np.array([r[k] for r in rows if r[k] is not None])
+        if not len(v):
+            assert tuple(got[c])[1:] == (0, 0, 0, None)
+            continue
+        q1, q3 = np.quantile(v, [0.25, 0.75])
+        beyond = int(((v < q1 - 1.5 * (q3 - q1)) | (v > q3 + 1.5 * (q3 - q1))).sum())
+        far = int((np.abs(v - v.mean()) > 3 * v.std()).sum()) if v.std() else 0
+        assert tuple(got[c])[1:4] == (beyond, far, len(v)), c
+
+
+def test_brackets_leave_few_cells_to_shuffle(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(2)
+    spark.createDataFrame([(float(x),) for x in rng.normal(0, 1, 60_000)], "x double").write.parquet(str(tmp_path / "t"))
+    kept = []
+    monkeypatch.setattr(Q, "stored", lambda df, name: kept.append(df) or df)
+    Q.outliers(spark.read.parquet(str(tmp_path / "t")), ["x"])
+    assert kept[0].count() < 600  # distinct rows after the map-side count, of 60,000 cells
+
+
 def _links(members, pairs):
     """All pairs that a crowd result stands for, as smallest ids of sets."""
     sides = {side: [r for r in members if r.side == side] for side in ("left", "right")}
