@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.operators.ranking import top_k
@@ -50,6 +50,10 @@ def nearest_event(
     return events.join(best, on, "left").select(*[c for c in events.columns], "t.trigger_date", "t.description", "t.days_apart")
 
 
+# Items of one time bin that a task should meet at most, as far as events allow.
+BIN_ROWS = 200_000
+
+
 def within_interval(
     events: DataFrame,
     items: DataFrame,
@@ -58,22 +62,38 @@ def within_interval(
     event_ts: str = "event_ts",
     item_ts: str = "ts",
     item_id: str = "item_id",
+    bin_rows: int = BIN_ROWS,
 ) -> DataFrame:
     """The ``k`` newest items within ``hours`` of each event, ranked.
 
-    Events are spread over the days their interval touches, so the join is
-    an equi-join on the day. Every event has a list of its own, also events
-    that share a time. Only ``k`` rows per event leave a task.
+    Time is cut into bins as wide as the interval, so an event looks into its
+    own bin and the two beside it, and the join is an equi-join on the bin. A
+    bin with more than ``bin_rows`` items is split by a hash of the item, and
+    the events that look into it are repeated for every split; only those bins
+    cost more. Only ``k`` rows per event leave a task. Every event has a list
+    of its own: equal event rows are matched once and repeated at the end.
     """
-    days = -(-hours // 24)
-    events = events.withColumn("_event", F.monotonically_increasing_id())
-    spread = events.withColumn("_off", F.explode(F.sequence(F.lit(-days), F.lit(days)))).withColumn(
-        "_day", F.date_add(F.to_date(event_ts), F.col("_off"))
-    )
-    near = items.withColumn("_day", F.to_date(item_ts)).join(spread.drop("_off"), "_day")
+    width = hours * 3_600_000_000
+
+    def bin_of(c: str) -> Column:
+        t = F.unix_micros(F.col(c).cast("timestamp"))
+        return ((t - F.pmod(t, F.lit(width))) / width).cast("long")
+
+    binned = items.withColumn("_bin", bin_of(item_ts))
+    sizes = binned.groupBy("_bin").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bin_rows)
+    hot = stored(sizes.select("_bin", F.ceil(F.col("_n") / bin_rows).cast("int").alias("_splits")), "hot-bins")
+    split = F.coalesce(F.pmod(F.xxhash64(item_id), F.col("_splits")), F.lit(0)).cast("int")
+    binned = binned.join(hot, "_bin", "left").withColumn("_split", split).drop("_splits")
+
+    keys = events.columns
+    alike = events.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
+    spread = alike.withColumn("_bin", F.explode(F.array(*[bin_of(event_ts) + d for d in (-1, 0, 1)]))).join(hot, "_bin", "left")
+    spread = spread.withColumn("_split", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1))).drop("_splits")
+    near = binned.join(spread, ["_bin", "_split"])
     span = F.expr(f"INTERVAL {hours} HOURS")
-    near = near.where(F.col(item_ts).between(F.col(event_ts) - span, F.col(event_ts) + span)).drop("_day")
-    return top_k(near, [F.desc(item_ts), F.col(item_id)], k, ["_event"]).drop("_event")
+    near = near.where(F.col(item_ts).between(F.col(event_ts) - span, F.col(event_ts) + span))
+    best = top_k(near, [F.desc(item_ts), F.col(item_id)], k, keys)
+    return best.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*items.columns, *keys)
 
 
 def hypotheses(events: DataFrame) -> DataFrame:

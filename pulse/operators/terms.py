@@ -105,29 +105,52 @@ def trending(
     return best.select("bucket", "term", "score")
 
 
+# Distinct first words of aliases that a plan may hold as one set.
+FIRST_WORDS = 20_000
+
+
+def _alias_runs(runs: DataFrame, names: DataFrame, by: list[str], limit: int) -> DataFrame:
+    """``(by, alias)``: the word runs of ``toks`` that may be an alias.
+
+    The index is the set of first words, looked up for each word inside the
+    row, and the lengths that aliases have; a row is made only where a first
+    word stands. With more than ``limit`` first words the set would outgrow a
+    plan, so every run is made and the join decides.
+    """
+    lengths = sorted(r[0] for r in names.select(F.size("words")).distinct().collect() if r[0] > 0)
+    firsts = [r[0] for r in names.where(F.size("words") > 0).select(F.element_at("words", 1)).distinct().limit(limit + 1).collect()]
+    if len(firsts) > limit:
+        return runs.select(*by, F.explode(word_grams("toks", 1, max(lengths))).alias("alias"))
+    reach = max(lengths, default=1)
+    spots = F.transform("toks", lambda w, i: F.when(w.isin(firsts), F.slice("toks", i + 1, reach)))
+    found = runs.select(*by, F.explode(F.filter(spots, lambda r: r.isNotNull())).alias("run"))
+    heads = [F.when(F.size("run") >= n, F.array_join(F.slice("run", 1, n), " ")) for n in lengths]
+    own = F.filter(F.array(*heads), lambda a: a.isNotNull()) if heads else F.array().cast("array<string>")
+    return found.select(*by, F.explode(own).alias("alias"))
+
+
 def entities(
     df: DataFrame,
     gazetteer: DataFrame,
     by: list[str] | None = None,
     noise: DataFrame | None = None,
+    first_words: int = FIRST_WORDS,
 ) -> DataFrame:
     """Mentions of gazetteer entries ``(alias, entity, type)`` per group.
 
-    Aliases may have any number of words; the longest one says how long the
-    word runs are that are looked up.
-
-    The join on the alias comes before the counting. A gazetteer within
-    Spark's broadcast limit then drops nearly all word runs where they are
-    made; with a larger one the join shuffles and AQE splits common words.
+    Aliases may have any number of words. Only runs that begin with the first
+    word of an alias and have the length of one meet the gazetteer; the join
+    on the alias comes before the counting.
     """
     by = list(by or [])
-    names = gazetteer.where(F.col("type").isin(X.ENTITY_TYPES)).select(
-        tokens("alias").alias("words"), F.lower("entity").alias("entity"), "type"
+    names = stored(
+        gazetteer.where(F.col("type").isin(X.ENTITY_TYPES)).select(
+            tokens("alias").alias("words"), F.lower("entity").alias("entity"), "type"
+        ),
+        "aliases",
     )
-    longest = names.agg(F.max(F.size("words"))).first()[0] or 1
+    runs = _alias_runs(df.select(*by, tokens("text").alias("toks")), names, by, first_words)
     names = names.select(F.array_join("words", " ").alias("alias"), "entity", "type")
-    runs = df.select(*by, tokens("text").alias("toks"))
-    runs = runs.select(*by, F.explode(word_grams("toks", 1, longest)).alias("alias"))
     found = runs.join(names, "alias").groupBy(*by, "entity", "type").agg(F.count(F.lit(1)).alias("mentions"))
     if noise is not None:
         found = found.join(noise.select(F.lower("entity").alias("entity")), "entity", "left_anti")

@@ -13,6 +13,8 @@ from pulse.operators import integrity as I
 from pulse.operators import ranking as R
 from pulse.plans import pipelines as P
 from pulse.plans.registry import query
+from pulse.session import run_dir
+from pulse.sources.sinks import append_run, read_runs
 from pulse.plans.tables import CTE, labelled, posts, quoted, raw_posts, raw_users, social, table, users, with_
 
 SP, NSP = X.SPACE, X.NON_SPACE
@@ -536,7 +538,7 @@ def clean_and_roll_up(spark, d):
     return merged.select("user_id", "location", "follower_count", "total_posts", "total_likes", "platforms_used", "engagement_score")
 
 
-@query("change_log", with_("raw_posts", "blanked_posts") + f""", counts AS (
+_CHANGES = with_("raw_posts", "blanked_posts") + f""", counts AS (
 SELECT count(*) FILTER (NOT coalesce(platform IN ({quoted(X.PLATFORMS)}), false)) AS a,
   count({clean_post_sql('text_content')}) AS b, count({mixed_ts_sql('"timestamp"')}) AS c,
   count(*) - count({number_sql('likes')}) AS e, count(*) - count({number_sql('shares')}) AS f, count(*) - count({number_sql('comments')}) AS g
@@ -547,11 +549,23 @@ UNION ALL SELECT 'standardize', 'text_content', 'strip_html', b, 'Cleaned ' || b
 UNION ALL SELECT 'standardize', 'timestamp', 'multi_format_parse', c, 'Parsed ' || c || ' timestamps' FROM counts
 UNION ALL SELECT 'missing', 'likes', 'median_impute', e, 'Imputed ' || e || ' null likes' FROM counts
 UNION ALL SELECT 'missing', 'shares', 'median_impute', f, 'Imputed ' || f || ' null shares' FROM counts
-UNION ALL SELECT 'missing', 'comments', 'median_impute', g, 'Imputed ' || g || ' null comments' FROM counts""")
+UNION ALL SELECT 'missing', 'comments', 'median_impute', g, 'Imputed ' || g || ' null comments' FROM counts"""
+
+
+@query("change_log", _CHANGES)
 def change_log(spark, d):
     return P.posts_change_log(raw_posts(spark, d))
 
 
+@query("change_log_runs", f"WITH log AS ({_CHANGES}) SELECT run_id, log.* FROM log, (VALUES ('run 1'), ('run/2')) r(run_id)")
+def change_log_runs(spark, d):
+    path, raw = run_dir(spark, "change-log"), raw_posts(spark, d)
+    # The first run is stopped and repeated over all rows; the second stays.
+    for run_id, rows in (("run 1", raw.where("platform IS NULL")), ("run/2", raw), ("run 1", raw)):
+        append_run(P.posts_change_log(rows), path, run_id)
+    return read_runs(spark, path)
+
+
 @query("text_audit", with_("labelled") + """
 SELECT count(*) AS raw_rows, count(*) - count(post_text) AS missing_text_rows, 0::BIGINT AS empty_text_rows,
   count(post_text) - count(DISTINCT post_text) AS duplicate_rows_removed, count(DISTINCT post_text) AS clean_rows FROM labelled""")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from pulse.functions import fixed as X
 from pulse.operators.integrity import stack
@@ -59,23 +60,102 @@ def harmonise(df: DataFrame, required: list[str] = X.REQUIRED_COLUMNS) -> DataFr
     return df.select(*[F.col(c) if c in have else F.lit("").alias(c) for c in required], *extra)
 
 
+def _header(spark: SparkSession, file) -> tuple[str, ...]:
+    """The column names in the first line of a CSV file, compressed or not."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    stream = file.getFileSystem(conf).open(file)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
+        plain = codec.createInputStream(stream) if codec is not None else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    if line is None:
+        raise ValueError("empty file")
+    return tuple(next(csv.reader([line.lstrip("\ufeff")])))
+
+
+def _files(spark: SparkSession, path: str) -> list:
+    """The data files a path or pattern stands for, without markers."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    home = jvm.org.apache.hadoop.fs.Path(path)
+    fs, out = home.getFileSystem(conf), []
+    for found in fs.globStatus(home) or []:
+        inside = fs.listStatus(found.getPath()) if found.isDirectory() else [found]
+        out += [f.getPath() for f in inside if f.isFile() and f.getPath().getName()[0] not in "._"]
+    if not out:
+        raise FileNotFoundError(path)
+    return out
+
+
+def _readable(spark: SparkSession, files: list[str], on_skip: Callable[[str, str], None]) -> list[str]:
+    """The files that can be read to their end. All are tried in one job; only
+    if it fails is each of them tried alone."""
+
+    def broken(some: list[str]) -> str | None:
+        try:
+            spark.read.option("ignoreCorruptFiles", False).text(some).agg(F.sum(F.length("value"))).collect()
+        except Exception as e:  # noqa: BLE001 - the report is where a failing file shows
+            return str(e).split("\n", 1)[0]
+        return None
+
+    if broken(files) is None:
+        return files
+    with ThreadPoolExecutor(8) as pool:
+        found = list(pool.map(lambda f: broken([f]), files))
+    for f, why in zip(files, found, strict=True):
+        if why is not None:
+            on_skip(f, why)
+    return [f for f, why in zip(files, found, strict=True) if why is None]
+
+
 def read_harmonised(
     spark: SparkSession,
     paths: list[str],
     required: list[str] = X.REQUIRED_COLUMNS,
     on_skip: Callable[[str, str], None] | None = None,
+    probe: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Files of differing columns stacked into one table.
 
-    A path that cannot be read is left out and reported to ``on_skip``.
+    A path that does not exist, and a file that is empty or breaks while it is
+    read, such as a truncated archive, is left out and reported to
+    ``on_skip(path, reason)``; the other files of its folder stay. Files with
+    one header are read together, so the plan has a branch per header and not
+    per file. ``probe=False`` saves the pass that looks for broken files; then
+    one gives the rows that can be read of it, which may be none.
     """
-    frames = []
-    for path in paths:
+    report = on_skip or (lambda path, why: None)
+
+    def headers(path: str) -> list[tuple[str, tuple[str, ...] | Exception]]:
         try:
-            frames.append(harmonise(read_raw_csv(spark, path), required))
-        except AnalysisException as e:
-            if on_skip:
-                on_skip(path, str(e))
+            files = _files(spark, path)
+        except Exception as e:  # noqa: BLE001
+            return [(path, e)]
+        out = []
+        for f in files:
+            try:
+                out.append((f.toString(), _header(spark, f)))
+            except Exception as e:  # noqa: BLE001
+                out.append((f.toString(), e))
+        return out
+
+    with ThreadPoolExecutor(8) as pool:
+        found = [x for own in pool.map(headers, paths) for x in own]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, header in found:
+        if isinstance(header, Exception):
+            report(path, str(header).split("\n", 1)[0])
+        else:
+            groups.setdefault(header, []).append(path)
+    frames = []
+    for header, files in groups.items():
+        files = _readable(spark, files, report) if probe else files
+        if files:
+            options = {"header": True, "multiLine": multi_line, "escape": '"', "ignoreCorruptFiles": not probe}
+            rows = spark.read.options(**options).schema(_text_schema(list(header))).csv(files)
+            frames.append(harmonise(rows.na.fill(""), required))
     if not frames:
         raise ValueError("no file could be read")
     return stack(*frames)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from urllib.parse import quote
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulse.operators.engagement import with_engagement
 from pulse.operators.integrity import integrity_report
@@ -35,6 +38,19 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_run(df: DataFrame, path: str, run_id: str) -> None:
+    """Add one run's rows to a log, under the run's own key: a run that is
+    repeated replaces its rows, and no other run is read or rewritten."""
+    df.write.mode("overwrite").parquet(f"{path}/run_id={quote(run_id, safe='')}")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All runs of a log with their ``run_id``, as text whatever it looks like."""
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField("run_id", T.StringType()) if f.name == "run_id" else f for f in found]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 USER_COLUMNS = [
     "user_id", "city", "country", "language", "account_created", "follower_count",
     "location_was_null", "language_was_null", "account_created_was_null",

@@ -287,6 +287,41 @@ def test_brackets_leave_few_cells_to_shuffle(spark, tmp_path, monkeypatch):
     assert kept[0].count() < 600  # distinct rows after the map-side count, of 60,000 cells
 
 
+def test_hot_bins_are_split_and_stay_exact(spark):
+    rnd = random.Random(4)
+    hot = [f"2024-01-10 {rnd.randrange(24):02d}:{rnd.randrange(60):02d}:00" for _ in range(900)]
+    cold = [f"2024-01-{rnd.randrange(1, 30):02d} 12:00:00" for _ in range(100)]
+    items = spark.createDataFrame(list(enumerate(hot + cold)), "item_id long, t string").selectExpr("item_id", "CAST(t AS timestamp) AS ts")
+    times = ["2024-01-09 12:00:00", "2024-01-11 00:00:00", "2024-01-11 00:00:00", "2024-01-25 00:00:00", None, "1969-12-31 23:00:00"]
+    events = spark.createDataFrame([(t,) for t in times], "t string").selectExpr("CAST(t AS timestamp) AS event_ts")
+    rows = [(r.item_id, r.ts) for r in items.collect()]
+    want = []
+    for (t,) in events.collect():
+        near = [(i, ts) for i, ts in rows if t is not None and abs((ts - t).total_seconds()) <= 48 * 3600]
+        want += [(i, ts, t) for i, ts in sorted(near, key=lambda x: (-x[1].timestamp(), x[0]))[:7]]
+    for limit in (50, 10_000):
+        got = K.within_interval(events, items, k=7, bin_rows=limit)
+        assert got.columns == ["item_id", "ts", "event_ts"]
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+    split = K.within_interval(events, items, k=7, bin_rows=50)
+    assert "_split" in split._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_alias_index_equals_all_runs(spark):
+    words = ["new", "york", "city", "time", "a"]
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randrange(40))) for _ in range(60)] + [None, ""]
+    df = spark.createDataFrame([(k % 3, t) for k, t in enumerate(texts)], "g int, text string")
+    names = [("New York", "ny", "GPE"), ("new york city", "nyc", "GPE"), ("time", "time", "DATE"), ("new", "n", "ORG"), ("new", "n2", "ORG"), ("!!", "none", "ORG")]
+    gaz = spark.createDataFrame(names, "alias string, entity string, type string")
+    got = [sorted(map(tuple, M.entities(df, gaz, ["g"], first_words=n).collect())) for n in (0, 100)]
+    assert got[0] == got[1] and got[0]
+    runs = M._alias_runs(df.select("g", M.tokens("text").alias("toks")), gaz.select(M.tokens("alias").alias("words")), ["g"], 100)
+    total = sum(len((t or "").split()) for t in texts)
+    assert runs.count() < 2.2 * total < 3 * total  # three lengths where "new" stands, one or none elsewhere
+    assert M.entities(df, gaz.limit(0)).count() == 0
+
+
 def _links(members, pairs):
     """All pairs that a crowd result stands for, as smallest ids of sets."""
     sides = {side: [r for r in members if r.side == side] for side in ("left", "right")}

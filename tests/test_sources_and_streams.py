@@ -35,6 +35,36 @@ def test_unreadable_file_is_reported(spark, tmp_path):
     assert df.first().text == "" and skipped == [str(tmp_path / "none.csv")]
 
 
+def test_files_that_break_are_left_out_and_headers_share_a_branch(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for k in range(6):
+        (folder / f"a{k}.csv").write_text("post_id,text\n" + "".join(f"{k}-{i},t{i}\n" for i in range(50)))
+    (folder / "b.csv").write_text('source,"post_id"\nweb,b-0\n')
+    (folder / "empty.csv").write_text("")
+    packed = gzip.compress("post_id,text\n".encode() + "".join(f"z{i},{'x' * 50}{i * 7919}\n" for i in range(20_000)).encode())
+    (folder / "whole.csv.gz").write_bytes(packed)
+    (folder / "cut.csv.gz").write_bytes(packed[: len(packed) // 2])
+    skipped = {}
+    df = D.read_harmonised(spark, [str(folder), str(tmp_path / "none")], on_skip=lambda p, why: skipped.__setitem__(p.rsplit("/", 1)[-1], why))
+    assert set(skipped) == {"cut.csv.gz", "empty.csv", "none"}
+    assert df.count() == 6 * 50 + 1 + 20_000
+    assert df.where("post_id = 'b-0'").first().asDict() == {"post_id": "b-0", "source": "web", "text": "", "timestamp": "", "engagement_metric": ""}
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+    kept = D.read_harmonised(spark, [str(folder)], probe=False)
+    assert df.count() <= kept.count() < df.count() + 20_000
+
+
+def test_a_repeated_run_replaces_its_rows(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for run_id, n in (("007", 2), ("a+b/c %", 5), ("007", 3)):
+        sinks.append_run(spark.range(n).withColumn("stage", F.lit("s")), log, run_id)
+    counts = {r.run_id: r["count"] for r in sinks.read_runs(spark, log).groupBy("run_id").count().collect()}
+    assert counts == {"007": 3, "a+b/c %": 5}
+
+
 def test_latest_run_prefers_scored(spark, tmp_path):
     df = spark.range(2)
     sinks.write_run(df, str(tmp_path), "merged", "2024-02")
