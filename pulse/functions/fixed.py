@@ -151,3 +151,13 @@ SEEDS = [0, 7, 13, 21, 42, 99, 123, 256, 314, 999]
 TRAINING_SHARES = [0.1, 0.325, 0.55, 0.775, 1.0]
 SEARCH_RANGE = (0.01, 10.0)
 SEARCH_DRAWS = 40
+
+# -- fixed values: cleaning ablation (label: cleaning switches and word-gram sizes; regularisation)
+ABLATIONS = {
+    "A: Champion pipeline (remove punct, split hashtags, strip mentions)": ({}, (1, 1)),
+    "B: Keep punctuation": ({"remove_punct": False}, (1, 1)),
+    "C: Keep hashtag symbol + keep punct (no split, # survives)": ({"remove_punct": False, "split_hashtags": False}, (1, 1)),
+    "D: Retain mention token (@user)": ({"strip_mentions": False}, (1, 1)),
+    "E: Bigrams only (ngram=(2,2)) — same text as A, model variant": ({}, (2, 2)),
+}
+ABLATION_C = 0.133

@@ -186,15 +186,21 @@ def training_set(df: DataFrame, labels: list[str] = X.LABELS, balanced: bool = T
     return out.withColumn("weight", weight).repartition("id")
 
 
-def _logistic(c: float, n: int, max_iter: int = 50) -> LogisticRegression:
+# Fits end when a step gains less than this share of the loss; the bounds on
+# steps are there for fits that do not converge.
+TOLERANCE = 1e-3
+LOGISTIC_STEPS, SVM_STEPS = 1000, 2000
+
+
+def _logistic(c: float, n: int, max_iter: int = LOGISTIC_STEPS) -> LogisticRegression:
     return LogisticRegression(
         featuresCol="word_vec", labelCol="label", weightCol="weight", regParam=1 / (c * n),
-        maxIter=max_iter, standardization=False, family="multinomial",
+        maxIter=max_iter, tol=TOLERANCE, standardization=False, family="multinomial",
     )
 
 
-def _svm(c: float, n: int, max_iter: int = 30) -> OneVsRest:
-    inner = LinearSVC(regParam=1 / (c * n), maxIter=max_iter, standardization=False)
+def _svm(c: float, n: int, max_iter: int = SVM_STEPS) -> OneVsRest:
+    inner = LinearSVC(regParam=1 / (c * n), maxIter=max_iter, tol=TOLERANCE, standardization=False)
     return OneVsRest(
         classifier=inner, featuresCol="word_vec", labelCol="label", weightCol="weight", rawPredictionCol="rawPrediction",
         parallelism=3,
@@ -205,18 +211,18 @@ def _bayes(smoothing: float, kind: str = "multinomial") -> NaiveBayes:
     return NaiveBayes(featuresCol="word_vec", labelCol="label", smoothing=smoothing, modelType=kind)
 
 
-def candidates(n: int, c: float = 1.0, max_iter: int = 30) -> dict[str, Pipeline]:
+def candidates(n: int, c: float = 1.0) -> dict[str, Pipeline]:
     """The classifiers compared; ``n`` is the training size."""
     return {
         "Multinomial Naive Bayes": Pipeline(stages=[*word_features(sublinear=False), _bayes(0.5)]),
         "Complement Naive Bayes": Pipeline(stages=[*word_features(), _bayes(0.5, "complement")]),
-        "Logistic Regression": Pipeline(stages=[*word_features(), _logistic(c, n, max_iter)]),
-        "Linear SVM": Pipeline(stages=[*word_features(), _svm(c, n, max_iter)]),
+        "Logistic Regression": Pipeline(stages=[*word_features(), _logistic(c, n)]),
+        "Linear SVM": Pipeline(stages=[*word_features(), _svm(c, n)]),
     }
 
 
-def char_union_svm(n: int, c: float = 1.0, max_iter: int = 30) -> Pipeline:
-    return Pipeline(stages=[*union_features(), _svm(c, n, max_iter)])
+def char_union_svm(n: int, c: float = 1.0) -> Pipeline:
+    return Pipeline(stages=[*union_features(), _svm(c, n)])
 
 
 BASELINE = "Majority-Class Baseline"
@@ -274,24 +280,60 @@ def _stack(dfs: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _spelled(stages: list) -> str:
+    """The stages and their settings as text, whatever their names."""
+    return "|".join(
+        type(x).__name__ + str(sorted((p.name, str(v)) for p, v in x.extractParamMap().items())) for x in stages
+    )
+
+
+def _vectors(features: list, train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both parts as written vectors; the features are fitted on ``train``."""
+    made = Pipeline(stages=features).fit(train)
+    return tuple(stored(made.transform(p).select("id", "y_true", "label", "weight", "word_vec")) for p in (train, test))
+
+
+def fit_all(pipes: dict[str, Pipeline], train: DataFrame, test: DataFrame, parallelism: int = 4) -> dict[str, DataFrame]:
+    """Predictions of every candidate for ``test``. Features that candidates
+    share are fitted and written once; the classifiers, each of which passes
+    over the vectors many times, are fitted side by side."""
+    shared: dict[str, tuple[list, list[str]]] = {}
+    for name, pipe in pipes.items():
+        features = pipe.getStages()[:-1]
+        shared.setdefault(_spelled(features), (features, []))[1].append(name)
+    jobs = [(name, _vectors(features, train, test)) for features, names in shared.values() for name in [tuple(names)]]
+
+    def one(job: tuple[str, tuple[DataFrame, DataFrame]]) -> tuple[str, DataFrame]:
+        name, (vectors, held_out) = job
+        return name, predict(pipes[name].getStages()[-1].fit(vectors), held_out)
+
+    with ThreadPool(parallelism) as pool:
+        found = dict(pool.map(one, [(name, parts) for names, parts in jobs for name in names], chunksize=1))
+    return {name: found[name] for name in pipes}
+
+
 def cross_validate(
     make: Callable[[int], dict[str, Pipeline]],
     df: DataFrame,
     k: int = 5,
     seed: int = 42,
     baseline: bool = True,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Scores of every candidate on every fold. The whole pipeline is fitted
     on the training folds only, the vocabulary too."""
     data = stored(assign_folds(df, "y_true", "id", k, seed))
-    n = data.count() * (k - 1) // k
-    rows = []
-    for fold in range(k):
+    pipes = make(data.count() * (k - 1) // k)
+
+    def one(fold: int) -> list[tuple]:
         train, test = data.where(F.col("fold") != fold), data.where(F.col("fold") == fold)
+        found = fit_all(pipes, train, test, parallelism)
         if baseline:
-            rows.append((BASELINE, fold, *evaluate(majority(train, test)).first()))
-        for name, pipe in make(n).items():
-            rows.append((name, fold, *evaluate(predict(pipe.fit(train), test)).first()))
+            found = {BASELINE: majority(train, test), **found}
+        return [(name, fold, *evaluate(rows).first()) for name, rows in found.items()]
+
+    with ThreadPool(k) as pool:
+        rows = [r for own in pool.map(one, range(k), chunksize=1) for r in own]
     return _runs(df, "model string, fold int", rows)
 
 
@@ -336,7 +378,7 @@ def tune(
 
 
 def search(
-    features: list, classifier: Estimator, param: str, values: list[float], df: DataFrame, k: int = 3, seed: int = 42, parallelism: int = 4
+    features: list, classifier: Estimator, param: str, values: list[float], df: DataFrame, k: int = 3, seed: int = 42, parallelism: int = 8
 ) -> DataFrame:
     """``(value, macro_f1)``: the cross-validated score of each value of one
     parameter of the classifier. Features are fitted once per fold, on its
@@ -346,9 +388,7 @@ def search(
     scores = {v: 0.0 for v in values}
     for fold in range(k):
         train = data.where(F.col("fold") != fold)
-        made = Pipeline(stages=features).fit(train)
-        vectors = ["id", "label", "weight", "word_vec"]
-        parts = [stored(made.transform(p).select(*vectors)) for p in (train, data.where(F.col("fold") == fold))]
+        parts = _vectors(features, train, data.where(F.col("fold") == fold))
 
         def one(value: float, parts=parts) -> tuple[float, float]:
             model = classifier.copy({classifier.getParam(param): value}).fit(parts[0])
@@ -468,25 +508,15 @@ def learning_curve(
     )
 
 
-# name: (cleaning switches, word-gram sizes); a hashtag mark survives only with punctuation
-ABLATIONS = {
-    "A: full cleaning": ({}, (1, 1)),
-    "B: keep punctuation": ({"remove_punct": False}, (1, 1)),
-    "C: keep punctuation and hashtag marks": ({"remove_punct": False, "split_hashtags": False}, (1, 1)),
-    "D: keep mentions": ({"strip_mentions": False}, (1, 1)),
-    "E: bigrams only": ({}, (2, 2)),
-}
-
-
 def ablate(
-    make: Callable[[tuple[int, int]], Pipeline], df: DataFrame, configs: dict[str, tuple] | None = None, k: int = 3
+    make: Callable[[tuple[int, int]], Pipeline], df: DataFrame, configs: dict[str, tuple] | None = None, k: int = 5
 ) -> DataFrame:
     """Scores per variant with the change against the first one.
 
     Two cleanings that yield the same texts would compare nothing; that is an
     error.
     """
-    configs = configs or ABLATIONS
+    configs = configs or X.ABLATIONS
     texts = {name: df.withColumn("text", clean_variant("text", **c)) for name, (c, _) in configs.items()}
     hashes = _stack(
         [

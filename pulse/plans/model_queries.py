@@ -27,16 +27,16 @@ def split(spark, d):
     return rows.where("split = 'train'").drop("split"), rows.where("split = 'test'").drop("split")
 
 
-def logistic(n: int, min_df: float = 2.0) -> Pipeline:
-    return Pipeline(stages=[*M.word_features((1, 1), min_df=min_df), M._logistic(1.0, n, 15)])
+def logistic(n: int) -> Pipeline:
+    return M.candidates(n)["Logistic Regression"]
 
 
-def bayes(grams: tuple[int, int] = (1, 1)) -> Pipeline:
-    return Pipeline(stages=[*M.word_features(grams, sublinear=False), M._bayes(0.5)])
+def bayes() -> Pipeline:
+    return M.candidates(1)["Multinomial Naive Bayes"]
 
 
-def svm(n: int) -> Pipeline:
-    return Pipeline(stages=[*M.word_features((1, 1)), M._svm(1.0, n, 10)])
+def svm(n: int, c: float = 1.0) -> Pipeline:
+    return M.candidates(n, c)["Linear SVM"]
 
 
 # -- features ------------------------------------------------------------------------
@@ -105,27 +105,20 @@ def class_weights(spark, d):
 
 @query("model_comparison")
 def model_comparison(spark, d):
-    def make(n):
-        return {"Logistic Regression": logistic(n), "Linear SVM": svm(n), "Multinomial Naive Bayes": bayes()}
-
-    return M.comparison(M.cross_validate(make, training(spark, d)))
+    return M.comparison(M.cross_validate(M.candidates, training(spark, d)))
 
 
 @query("candidate_predictions")
 def candidate_predictions(spark, d):
     train, test = split(spark, d)
-    return M._stack(
-        [
-            M.predict(p.fit(train), test).select(F.lit(n).alias("model"), "id", "y_true", "y_pred")
-            for n, p in M.candidates(train.count(), max_iter=10).items()
-        ]
-    )
+    found = M.fit_all(M.candidates(train.count()), train, test)
+    return M._stack([p.select(F.lit(n).alias("model"), "id", "y_true", "y_pred") for n, p in found.items()])
 
 
 @query("char_union_predictions")
 def char_union_predictions(spark, d):
     train, test = split(spark, d)
-    return M.predict(M.char_union_svm(train.count(), max_iter=10).fit(train), test).select("id", "y_true", "y_pred")
+    return M.predict(M.char_union_svm(train.count()).fit(train), test).select("id", "y_true", "y_pred")
 
 
 @query("tuned_model")
@@ -149,6 +142,20 @@ def negation_feature_gain(spark, d):
     return M.keep_if_better(plain.union(negated), "plain", "negation")
 
 
+@query("class_weight_gain")
+def class_weight_gain(spark, d):
+    rows = stored(training(spark, d))
+    even = M.cross_validate(lambda n: {"unweighted": svm(n)}, rows.withColumn("weight", F.lit(1.0)), baseline=False)
+    balanced = M.cross_validate(lambda n: {"balanced": svm(n)}, rows, baseline=False)
+    return M.keep_if_better(even.union(balanced), "unweighted", "balanced")
+
+
+@query("char_union_gain")
+def char_union_gain(spark, d):
+    folds = M.cross_validate(lambda n: {"words": svm(n), "words and characters": M.char_union_svm(n)}, training(spark, d), baseline=False)
+    return M.keep_if_better(folds, "words", "words and characters")
+
+
 @query("calibrated_probabilities")
 def calibrated_probabilities(spark, d):
     train, test = split(spark, d)
@@ -185,7 +192,13 @@ def learning_curve(spark, d):
 @query("cleaning_ablation")
 def cleaning_ablation(spark, d):
     tag = F.concat(F.lit("@u_"), F.col("id") % 3, F.lit(" ! #Tag_"), F.col("id") % 5, F.lit(" "), F.col("text"))
-    return M.ablate(bayes, training(spark, d).withColumn("text", tag))
+    rows = stored(training(spark, d).withColumn("text", tag))
+    n = rows.count() * 4 // 5
+
+    def make(grams):
+        return Pipeline(stages=[*M.word_features(grams, min_df=3.0, max_df=0.85, max_features=M.NO_LIMIT), M._svm(X.ABLATION_C, n)])
+
+    return M.ablate(make, rows)
 
 
 @query("paired_test_5x2")
