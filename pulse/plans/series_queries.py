@@ -155,7 +155,7 @@ CTE["triggers"] = "SELECT CAST(d AS DATE) AS trigger_date, description FROM (VAL
 CTE["headlines"] = """
 SELECT conv_id * 100 + turn AS item_id,
   TIMESTAMP '2020-11-01' + to_days(CAST((conv_id * 3 + turn) % 273 AS INTEGER)) + to_hours(CAST(conv_id * 5 % 24 AS INTEGER)) AS ts,
-  substring("text", 1, 40) AS title FROM conversations"""
+  "text" AS title FROM conversations"""
 
 
 def triggers(spark):
@@ -168,7 +168,7 @@ def headlines(spark, d):
         "conv_id * 100 + turn AS item_id",
         """CAST(TIMESTAMP_NTZ '2020-11-01 00:00:00' + make_dt_interval(CAST((conv_id * 3 + turn) % 273 AS INT),
            CAST(conv_id * 5 % 24 AS INT)) AS TIMESTAMP) AS ts""",
-        "substring(text, 1, 40) AS title",
+        "text AS title",
     )
 
 
