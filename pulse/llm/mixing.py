@@ -6,6 +6,7 @@ DataFrame expressions and aggregates only.
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,8 +21,10 @@ from pulse.session import stored
 SAMPLE_ROWS = 20_000
 MARKERS = 48
 MARKER_DOCS = 5
-STEPS = 30
 CLOSE = 1e-6
+GAIN = 0.01
+STEPS = 60
+LENGTHS = [1.0, 0.5, 0.2, 0.05]
 
 
 @dataclass
@@ -97,66 +100,142 @@ def with_posteriors(df: DataFrame, domains: Domains, text: str = "text") -> Data
 
 @dataclass
 class Rates:
-    """What turns posteriors into a rate: a start and the steps taken."""
+    """What turns posteriors into a rate: a start and the steps taken.
+
+    A step is a vector over the domains; a document moves by its product with
+    the document's ``features`` (the posteriors, or their excess over what the
+    ``whole`` domain allows). ``residual`` is the largest miss as a share of
+    the tokens asked for, ``met`` whether it is within the tolerance.
+    """
 
     start: float
     steps: list[list[float]]
     totals: dict[str, float]
     cap: float | None = None
+    ratios: list[float] | None = None
+    whole: int | None = None
+    residual: float = 0.0
+    met: bool = True
+
+    def features(self, p: Column) -> list[Column]:
+        parts = [F.get(p, F.lit(i)) for i in range(len(self.totals))]
+        if self.whole is None:
+            return parts
+        return [x - F.lit(float(r)) * parts[self.whole] for x, r in zip(parts, self.ratios, strict=True)]
+
+    def inside(self, x: Column) -> Column:
+        least = F.greatest(F.lit(0.0), x)
+        return least if self.cap is None else F.least(F.lit(self.cap), least)
 
     def column(self, p: str = "_p") -> Column:
-        moves = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in self.steps]) if self.steps else None
-        if moves is None:
+        if not self.steps:
             return F.lit(self.start)
+        moves = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in self.steps])
 
         def dot(s: Column, q: Column) -> Column:
             return F.aggregate(F.zip_with(s, q, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
 
-        def inside(x: Column) -> Column:
-            least = F.greatest(F.lit(0.0), x)
-            return least if self.cap is None else F.least(F.lit(self.cap), least)
+        def walk(q: Column) -> Column:
+            return F.aggregate(moves, F.lit(self.start), lambda x, s: self.inside(x + dot(s, q)))
 
-        return let(F.col(p), lambda q: F.aggregate(moves, F.lit(self.start), lambda x, s: inside(x + dot(s, q))))
+        return let(F.array(*self.features(F.col(p))), walk)
 
 
 def fit_rates(
-    rows: DataFrame, names: list[str], targets: dict[str, float], budget: float | None = None, cap: float | None = None, steps: int = STEPS
+    rows: DataFrame,
+    names: list[str],
+    targets: dict[str, float],
+    budget: float | None = None,
+    whole: str | None = None,
+    steps: int = STEPS,
 ) -> Rates:
     """Nonnegative rates ``x`` of the documents so that the expected tokens of
     each domain, ``sum x * t * p``, match ``budget`` times its target share.
 
+    With ``whole``, rates start at one and never exceed it, and each other
+    domain keeps at most as many expected tokens as its target allows beside
+    what the whole domain then has; a domain with less is left as it is.
+
     Projected gradient for least squares: the gradient of a document is its
-    posteriors times the residual of the domains, weighed with the inverse of
-    their second moments, and a rate below zero becomes zero, one above
-    ``cap`` becomes ``cap``. Without that projection the first step is exact, with it a few more follow. A step is
-    one aggregate over all documents, of which the driver sees one number per
-    domain; a rate is a function of a document's posteriors and the steps.
+    features times the residual of the domains, and a rate outside its bounds
+    is put back on them. A step weighs the residual with the inverse second
+    moments of the documents that are free to move along the gradient, or of
+    all, at several lengths; the one that leaves the least residual is taken.
+    It ends when the residual is below ``CLOSE`` of the tokens asked for, or
+    when no step lowers it by ``GAIN`` of itself, or after ``steps`` (targets
+    out of reach or nearly so), which ``met`` and a warning tell. A step takes two aggregates over all documents, of which the driver
+    sees a few numbers per domain.
     """
     k = len(names)
     p = [F.get("_p", F.lit(i)) for i in range(k)]
-    cells = [F.sum(F.col("_t") * p[i] * p[j]) for i in range(k) for j in range(i + 1)]
-    row = rows.agg(F.sum("_t").cast("double"), *cells, *[F.sum(F.col("_t") * p[i]) for i in range(k)]).first()
-    whole = row[0] or 0.0
-    if not whole or not k:
+    sums = rows.agg(F.sum("_t").cast("double"), *[F.sum(F.col("_t") * p[i]) for i in range(k)]).first()
+    tokens = sums[0] or 0.0
+    if not tokens or not k:
         return Rates(1.0, [], {})
-    gram, at = np.zeros((k, k)), 1
-    for i in range(k):
-        for j in range(i + 1):
-            gram[i, j] = gram[j, i] = row[at]
-            at += 1
+    totals = dict(zip(names, map(float, sums[1:]), strict=True))
     share = np.array([max(0.0, targets.get(d, 0.0)) for d in names])
     share = share / share.sum() if share.sum() else np.full(k, 1.0 / k)
-    want = share * (whole if budget is None else budget)
-    inverse = np.linalg.pinv(gram + 1e-9 * np.trace(gram) * np.eye(k))
-    start = float(want.sum() / whole)
-    rates = Rates(start if cap is None else min(start, cap), [], dict(zip(names, row[at:], strict=True)), cap)
+    if whole is None:
+        want = share * (tokens if budget is None else budget)
+        rates = Rates(float(want.sum() / tokens), [], totals)
+    else:
+        w = names.index(whole)
+        ratios = share / share[w]
+        ratios[w] = 1.0  # no feature of its own
+        want, rates = np.zeros(k), Rates(1.0, [], totals, 1.0, ratios.tolist(), w)
+    scale = float(want.sum()) if whole is None else tokens
+    bound = np.full(k, whole is None)  # domains whose total is asked for
+
+    def moments(x: Column, toward: np.ndarray) -> np.ndarray:
+        q = [F.get("_q", F.lit(i)) for i in range(k)]
+        slope = sum((q[i] * F.lit(float(toward[i])) for i in range(k)), F.lit(0.0))
+        free = (F.col("_x") > 0) | (slope > 0)
+        if rates.cap is not None:
+            free &= (F.col("_x") < rates.cap) | (slope < 0)
+        at = rows.select("_t", F.array(*rates.features(F.col("_p"))).alias("_q"), x.alias("_x"))
+        pairs = [(i, j) for i in range(k) for j in range(i + 1)]
+        cells = [F.col("_t") * q[i] * q[j] for i, j in pairs]
+        got = at.agg(*[F.sum(c) for c in cells], *[F.sum(F.when(free, c)) for c in cells]).first()
+        grams = np.zeros((2, k, k))
+        for n, v in enumerate(got):
+            i, j = pairs[n % len(pairs)]
+            grams[n // len(pairs), i, j] = grams[n // len(pairs), j, i] = v or 0.0
+        return grams
+
+    def totals_after(moves: list[np.ndarray]) -> np.ndarray:
+        at = rows.select("_t", F.array(*rates.features(F.col("_p"))).alias("_q"), rates.column().alias("_x"))
+        q = [F.get("_q", F.lit(i)) for i in range(k)]
+        cells = []
+        for s in moves:
+            x = rates.inside(F.col("_x") + sum((q[i] * F.lit(float(s[i])) for i in range(k)), F.lit(0.0)))
+            cells += [F.sum(F.col("_t") * x * q[i]) for i in range(k)]
+        return np.array([float(v) for v in at.agg(*cells).first()]).reshape(len(moves), k)
+
+    def missing(got: np.ndarray) -> np.ndarray:
+        return np.where(bound, want - got, 0.0)
+
+    got = totals_after([np.zeros(k)])[0]
     for _ in range(steps):
-        x = rates.column()
-        got = rows.agg(*[F.sum(x * F.col("_t") * p[i]) for i in range(k)]).first()
-        miss = want - np.array([float(v) for v in got])
-        if np.abs(miss).max() <= CLOSE * want.sum():
+        bound |= got > want + CLOSE * scale
+        miss = missing(got)
+        rates.residual = float(np.abs(miss).max() / scale)
+        if rates.residual <= CLOSE:
+            break
+        tries = []
+        for gram in moments(rates.column(), miss):
+            asked = np.where(np.outer(bound, bound), gram, 0.0)
+            move = np.linalg.pinv(asked + 1e-12 * np.trace(asked) * np.eye(k)) @ miss
+            tries += [length * np.where(bound, move, 0.0) for length in LENGTHS]
+        after = totals_after(tries)
+        best = min(range(len(tries)), key=lambda n: float(np.linalg.norm(missing(after[n]))))
+        if np.linalg.norm(missing(after[best])) >= (1 - GAIN) * np.linalg.norm(miss):
             break
-        rates.steps.append((inverse @ miss).tolist())
+        rates.steps.append(tries[best].tolist())
+        got = after[best]
+    rates.residual = float(np.abs(missing(got)).max() / scale)
+    rates.met = rates.residual <= CLOSE
+    if not rates.met:
+        warnings.warn(f"mixing misses its targets by {rates.residual:.2%} of the tokens asked for", stacklevel=2)
     return rates
 
 
@@ -210,22 +289,21 @@ def mix_rows(
 ) -> DataFrame:
     """The rows of ``df``, each as often as its ``copies`` say.
 
-    With ``whole``, the budget is what that domain's own tokens allow and no
-    rate exceeds one: nothing is repeated, its documents stay at a rate of
-    about one, and the other domains are thinned to their share. Rates are fitted on ids, tokens and
-    posteriors; the texts are judged again where they are read, so they are
+    With ``whole``, a domain with a target, no rate exceeds one: nothing is
+    repeated, its documents stay at a rate of about one, and each other domain
+    is thinned to its target beside them; one that is below its target stays
+    as it is. Rates are fitted on ids, tokens and posteriors; the texts are
+    judged again where they are read, so they are
     not shuffled.
     """
     domains = learn_domains(df, labelled, id_col, text)
     if not domains.names:
         return df
     slim = stored(with_posteriors(df.select(id_col, text), domains, text).drop(text), "posteriors")
-    budget = None
-    if whole in domains.names and targets.get(whole):
-        own = F.get("_p", F.lit(domains.names.index(whole)))
-        share = targets[whole] / sum(targets.get(d, 0.0) for d in domains.names)
-        budget = (slim.agg(F.sum(F.col("_t") * own)).first()[0] or 0.0) / share
-    rates = fit_rates(slim, domains.names, targets, budget, None if whole is None else 1.0)
+    kept = whole if whole in domains.names and targets.get(whole) else None
+    rates = fit_rates(slim, domains.names, targets, whole=kept)
+    if whole is not None and kept is None:
+        rates = Rates(1.0, [], {})
     rows = with_posteriors(packed(df, [], _id=id_col, _text=text), domains, "_text")
     rows = rows.withColumn("_copies", copies(rates.column(), "_id")).where("_copies > 0")
     if whole is None:
