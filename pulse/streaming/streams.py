@@ -30,11 +30,13 @@ from pulse.sources.sinks import append_log
 def ingest_stream(
     spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet", pattern: str | None = None, max_files: int = 1000
 ) -> DataFrame:
-    """Files landing in a folder as a stream; ``pattern`` selects names."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.format(fmt).load(folder)
+    """Files landing in a folder as a stream; ``pattern`` selects names, of
+    files or of folders of files, as a table of several parts is one."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).format(fmt)
+    if not pattern:
+        return reader.load(folder)
+    # Braces make a plain name a pattern too: only then may it name a single file.
+    return reader.load(f"{folder}/{{{pattern}}}")
 
 
 def dedup_stream(df: DataFrame, key: str = "post_id", ts: str = "ts", delay: str = "1 day") -> DataFrame:

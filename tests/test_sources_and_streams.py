@@ -125,6 +125,23 @@ def test_stream_dedup_keeps_one(spark, tmp_path):
     assert sorted(r.post_id for r in T.read_batches(spark, out).collect()) == ["a", "b"]
 
 
+def test_pattern_names_files_and_folders_of_files(spark, tmp_path):
+    _land(spark, str(tmp_path / "rows.parquet"), [("a", "2024-01-01 00:00:00", 1.0)])
+    _land(spark, str(tmp_path / "rows.parquet"), [("b", "2024-01-02 00:00:00", 1.0)])
+    _land(spark, str(tmp_path / "rows.parquet.old"), [("c", "2024-01-02 00:00:00", 1.0)])
+    one = next((tmp_path / "rows.parquet").glob("part-*.parquet"))
+
+    def read(folder, pattern, name):
+        stream = T.ingest_stream(spark, str(folder), StructType.fromDDL(SCHEMA), pattern=pattern)
+        counts = {}
+        T.write_batches(stream, str(tmp_path / name), on_batch=counts.__setitem__).awaitTermination()
+        return sum(counts.values())
+
+    assert read(tmp_path, "rows.parquet", "folder") == 2
+    assert read(tmp_path / "rows.parquet", one.name, "file") == 1
+    assert read(tmp_path, "absent.parquet", "absent") == 0
+
+
 def test_history_keeps_late_keys_and_drops_distant_copies(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     files = [[("a", "2024-03-01 00:00:00", 1.0)], [("late", "2024-01-01 00:00:00", 1.0)], [("a", "2024-06-01 00:00:00", 1.0), ("b", "2024-06-01 00:00:00", 1.0)]]
