@@ -249,6 +249,18 @@ def test_similarity_against_brute_force(spark, crowd):
     assert left == {i for i in range(len(crowd)) if i % 4 == 0} - leaked
 
 
+def test_prefixes_leave_out_common_grams_without_a_shuffle(spark, tmp_path):
+    rows = [(f"s{k}", sorted([*range(5), *range(10 * k + 10, 10 * k + 15)])) for k in range(200)]
+    spark.createDataFrame(rows, "sig string, grams array<long>").write.parquet(str(tmp_path / "sets"))
+    sets = spark.read.parquet(str(tmp_path / "sets"))
+    counts = spark.sparkContext.broadcast(Z._bucket_counts(sets))
+    assert [counts.value[k] for k in (0, 4, 5, 10, 14)] == [200, 200, 0, 1, 1]
+    first = Z._rare_first(sets, counts, 0.8)
+    assert "Exchange" not in first._jdf.queryExecution().executedPlan().toString()
+    got = first.collect()
+    assert len(got) == 200 * 3 and all(r["size"] == 10 and r.gram >= 10 for r in got)
+
+
 def test_lsh_reports_no_false_pair(spark, crowd):
     df = spark.createDataFrame(list(enumerate(crowd)), "id long, text string")
     for r in Z.similar_pairs_lsh(df.where("id % 4 = 0"), df.where("id % 4 <> 0")).collect():
