@@ -23,9 +23,23 @@ def strip(c) -> Column:
     return F.regexp_replace(_col(c), rf"^{X.SPACE}+|{X.SPACE}+$", "")
 
 
+# What the patterns of ``fixed`` match, written for Java: what may begin a
+# match is looked at first, letters before classes, and a single plain space,
+# which would be replaced by itself, is left out.
+_SPACES = rf"[\t-\r\x1C-\x1F\x{{85}}\p{{Z}}&&[^ ]]{X.SPACE}*| {X.SPACE}+"
+_NO_WORD = r"[^a-z _0-9\p{L}\p{N}][^a-z_0-9\p{L}\p{N}]*| [^a-z_0-9\p{L}\p{N}]+"
+_MARKUP = rf"(?=[<&])(?:{X.MARKUP})"
+_URL = rf"(?=[hw])(?:{X.URL})"
+
+
 def squeeze(c) -> Column:
     """One space for each run of white space, none at the ends."""
-    return strip(F.regexp_replace(_col(c), rf"{X.SPACE}+", " "))
+    return F.trim(F.regexp_replace(_col(c), _SPACES, " "))
+
+
+def _only_words(c) -> Column:
+    """As :func:`squeeze`, with punctuation as white space."""
+    return F.trim(F.regexp_replace(_col(c), _NO_WORD, " "))
 
 
 def clean_post(c, fix_mojibake: bool = False) -> Column:
@@ -41,12 +55,12 @@ def clean_post(c, fix_mojibake: bool = False) -> Column:
 def clean_nlp(c) -> Column:
     """Classifier input: no markup, links, mentions, emoji or punctuation."""
     out = F.coalesce(_col(c), F.lit(""))
-    out = F.regexp_replace(out, X.MARKUP, " ")
-    out = F.regexp_replace(out, X.URL, " ")
+    out = F.regexp_replace(out, _MARKUP, " ")
+    out = F.regexp_replace(out, _URL, " ")
     out = F.regexp_replace(out, X.MENTION, " ")
     out = F.regexp_replace(out, X.HASHTAG, " $1 ")
     out = F.regexp_replace(out, X.EMOJI, " ")
-    return squeeze(F.regexp_replace(F.lower(out), X.PUNCTUATION, " "))
+    return _only_words(F.lower(out))
 
 
 def clean_variant(
@@ -57,15 +71,13 @@ def clean_variant(
 ) -> Column:
     """Classifier input with switches; a link becomes the token ``url``."""
     out = F.coalesce(_col(c), F.lit(""))
-    out = F.regexp_replace(out, X.MARKUP, " ")
-    out = F.regexp_replace(out, X.URL, " URL ")
+    out = F.regexp_replace(out, _MARKUP, " ")
+    out = F.regexp_replace(out, _URL, " URL ")
     if strip_mentions:
         out = F.regexp_replace(out, X.MENTION, " ")
     out = F.regexp_replace(out, X.HASHTAG, " $1 " if split_hashtags else " #$1 ")
     out = F.lower(out)
-    if remove_punct:
-        out = F.regexp_replace(out, X.PUNCTUATION, " ")
-    return squeeze(out)
+    return _only_words(out) if remove_punct else squeeze(out)
 
 
 def clean_social(c) -> Column:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pulse.functions import fixed as X
 from pulse.functions import text as T
 from pulse.functions import times as TM
 from pulse.functions import values as V
@@ -53,6 +54,27 @@ def test_clean_variant_switches(spark):
     assert one(spark, raw, lambda c: T.clean_variant(c, strip_mentions=False)) == "go win me url"
 
 
+def test_white_space_and_words_are_those_of_the_fixed_classes(spark):
+    codes = [*range(1, 0x3100), 0xFEFF, 0xFF10, 0x1D7D8, 0x1F600, 0x10FFFF]
+    texts = [(f"{x}{x} a{x}b {x} c{x}{x}d{x} ",) for x in map(chr, codes)]
+    df = spark.createDataFrame([*texts, ("",), (" ",), ("a b",), (None,)], "c string")
+
+    def plain(c):
+        return F.regexp_replace(F.regexp_replace(c, rf"{X.SPACE}+", " "), rf"^{X.SPACE}+|{X.SPACE}+$", "")
+
+    got = df.select(T.squeeze("c").alias("a"), plain("c").alias("b"), T.clean_variant("c").alias("x"),
+                    plain(F.regexp_replace(F.lower(F.coalesce("c", F.lit(""))), X.PUNCTUATION, " ")).alias("y"))
+    assert got.where("NOT a <=> b").count() == 0
+    # "#" and "@" before a letter have rules of their own.
+    assert got.where("NOT x <=> y").count() <= 2
+
+
+def test_cleaning_reads_a_text_once_for_words_and_spaces(spark):
+    steps = str(T.clean_variant(F.col("c"))).count("regexp_replace")
+    whole = str(F.regexp_replace(F.col("c"), "a", "b")).count("regexp_replace")
+    assert steps == 5 * whole
+
+
 def test_social_and_review(spark):
     assert one(spark, "né @x #tag http://q w", T.clean_social) == "n tag w"
     assert one(spark, "né  http://q w", T.clean_review) == "n w"
