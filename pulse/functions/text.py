@@ -27,6 +27,7 @@ def strip(c) -> Column:
 # match is looked at first, letters before classes, and a single plain space,
 # which would be replaced by itself, is left out.
 _SPACES = rf"[\t-\r\x1C-\x1F\x{{85}}\p{{Z}}&&[^ ]]{X.SPACE}*| {X.SPACE}+"
+_LOW_WORD = r"[a-z_0-9\p{L}\p{N}]"
 _NO_WORD = r"[^a-z _0-9\p{L}\p{N}][^a-z_0-9\p{L}\p{N}]*| [^a-z_0-9\p{L}\p{N}]+"
 _MARKUP = rf"(?=[<&])(?:{X.MARKUP})"
 _URL = rf"(?=[hw])(?:{X.URL})"
@@ -111,8 +112,7 @@ def char_count(c) -> Column:
 
 def tokens(c, min_chars: int = 1) -> Column:
     """Lower-case word tokens of at least ``min_chars`` characters."""
-    pattern = f"({X.WORD}{{{min_chars},}})" if min_chars > 1 else f"({X.WORD}+)"
-    return F.regexp_extract_all(F.lower(_col(c)), F.lit(pattern), 1)
+    return F.regexp_extract_all(F.lower(_col(c)), F.lit(rf"{_LOW_WORD}{{{max(min_chars, 1)},}}+"), 0)
 
 
 def word_grams(tokens_col, lo: int, hi: int) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.functions import fixed as X
@@ -35,31 +35,50 @@ def aspects(df: DataFrame, terms: list[str] = X.ASPECT_TERMS, sources: list[str]
     )
 
 
-def gram_rows(df: DataFrame, keys: list[str], stop_words: list[str], lo: int = 1, hi: int = 2, min_chars: int = 2) -> DataFrame:
-    """One row per gram occurrence; ``first`` is 1 once per text and gram.
+def _counted(df: DataFrame, keys: list[str], grams: Column) -> DataFrame:
+    """``tf`` and ``df`` of every gram of the arrays ``grams``, per group.
 
     Sorting the grams inside each text makes term and document frequencies
     come from a single shuffle on the gram.
     """
-    toks = tokens("text", min_chars)
-    if stop_words:
-        toks = F.filter(toks, lambda t: ~t.isin(stop_words))
-    base = df.select(*keys, toks.alias("toks"))
-    base = base.select(*keys, F.sort_array(word_grams("toks", lo, hi)).alias("grams"))
+    base = df.select(*keys, F.sort_array(grams).alias("grams"))
     flagged = F.transform(
         "grams",
         lambda g, i: F.struct(
             g.alias("term"), F.when(F.get("grams", i - 1) == g, 0).otherwise(1).alias("first")
         ),
     )
-    return base.select(*keys, F.explode(flagged).alias("g")).select(*keys, "g.term", "g.first")
+    rows = base.select(*keys, F.explode(flagged).alias("g")).select(*keys, "g.term", "g.first")
+    return rows.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"), F.sum("first").alias("df"))
 
 
-def gram_stats(df: DataFrame, keys: list[str], stop_words: list[str], lo: int = 1, hi: int = 2) -> DataFrame:
-    """``tf`` and ``df`` of every gram, per group."""
-    return gram_rows(df, keys, stop_words, lo, hi).groupBy(*keys, "term").agg(
-        F.count(F.lit(1)).alias("tf"), F.sum("first").alias("df")
-    )
+# Distinct words that a plan may hold as one set.
+WORD_SET = 20_000
+
+
+def frequent_grams(df: DataFrame, keys: list[str], stop_words: list[str], most: int, min_chars: int = 2, limit: int = WORD_SET) -> DataFrame:
+    """``tf`` and ``df`` of the words and word pairs found in two texts of a
+    group, among them the ``most`` most frequent ones and their ties.
+
+    A pair is no more frequent than either of its words. So single words are
+    counted first, and a pair is made only where both words are as frequent
+    as the word of rank ``most``; rare pairs, which are nearly all, are
+    neither made nor shuffled. With more than ``limit`` such words the set
+    would outgrow a plan, and every pair is counted.
+    """
+    toks = tokens("text", min_chars)
+    if stop_words:
+        toks = F.filter(toks, lambda t: ~t.isin(stop_words))
+    base = df.select(*keys, toks.alias("toks"))
+    place = F.rank().over(Window.partitionBy(*keys).orderBy(F.desc("tf")))
+    words = _counted(base, keys, F.col("toks")).where(F.col("df") >= 2)
+    words = stored(words.withColumn("_place", place).where(F.col("_place") <= most).drop("_place"), "words")
+    common = [r[0] for r in words.select("term").distinct().limit(limit + 1).collect()]
+    if len(common) <= limit:
+        base = base.select(*keys, F.transform("toks", lambda t: F.when(t.isin(common), t)).alias("toks"))
+    pair = F.transform("toks", lambda t, i: F.concat(t, F.lit(" "), F.get("toks", i + 1)))
+    pairs = _counted(base, keys, F.filter(pair, lambda g: g.isNotNull())).where(F.col("df") >= 2)
+    return words.unionByName(pairs)
 
 
 def trending(
@@ -84,7 +103,7 @@ def trending(
     for s in stoplist:
         banned = banned | F.col("term").contains(s)
 
-    stats = gram_stats(df, ["bucket"], english_stop_words() if stop_words is None else stop_words).where(F.col("df") >= 2)
+    stats = frequent_grams(df, ["bucket"], english_stop_words() if stop_words is None else stop_words, vocabulary)
     vocab = top_k(stats, [F.desc("tf"), F.col("term")], vocabulary, ["bucket"])
     idf = F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1
     score = idf if rank == "idf" else F.col("tf") * idf

@@ -1,5 +1,6 @@
 """Operators on small tables: NULLs, ties, single rows, hot groups."""
 
+import collections
 import math
 import random
 import statistics
@@ -427,6 +428,27 @@ def test_trending_falls_back_on_few_posts(spark):
     assert got["w2"]["common"] == 1.0 and "common word0" in got["w2"]
 
 
+@pytest.mark.parametrize("most, limit", [(6, 100), (6, 0), (1, 100), (500, 100)])
+def test_frequent_grams_against_brute_force(spark, most, limit):
+    draw = random.Random(most)
+    texts = [(f"w{i % 3}", " ".join(draw.choices([f"t{j}" for j in range(40)], [1 / (j + 1) for j in range(40)], k=30))) for i in range(60)]
+    tf, docs = collections.Counter(), collections.Counter()
+    for week, text in texts:
+        toks = [t for t in text.split() if t != "t3"]
+        grams = [(week, g) for g in [*toks, *map(" ".join, zip(toks, toks[1:]))]]
+        tf.update(grams)
+        docs.update(set(grams))
+    found = M.frequent_grams(spark.createDataFrame(texts, "bucket string, text string"), ["bucket"], ["t3"], most, limit=limit).collect()
+    got = {(r.bucket, r.term): (r.tf, r.df) for r in found}
+    assert len(got) == len(found)
+    for week in ("w0", "w1", "w2"):
+        own = sorted((-n, g) for (w, g), n in tf.items() if w == week and docs[w, g] >= 2)[:most]
+        assert {g: -n for n, g in own}.items() <= {g: n for (w, g), (n, _) in got.items() if w == week}.items()
+    assert all(tf[g] == n and docs[g] == d for g, (n, d) in got.items())
+    if most == 6 and limit:  # no pair of rare words
+        assert sum(" " in g for _, g in got) < sum(" " in g and docs[w, g] >= 2 for w, g in docs)
+
+
 def test_aspects_leave_out_unmentioned_terms(spark):
     df = spark.createDataFrame(
         [("Privacy matters", "whatsapp", "Negative", 0.0), ("no PRIVACY", "telegram", "Positive", 1.0)],
