@@ -281,3 +281,10 @@ QUICK = [
 def test_queries_without_oracle_yield_rows(spark, folder, name):
     assert name not in ORACLES
     assert QUERIES[name](spark, folder).count() > 0
+
+
+def test_stream_scored_reads_a_table_of_several_parts(spark, folder, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{folder}/{name}.parquet").repartition(2).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = QUERIES["stream_scored"](spark, str(tmp_path))
+    assert got.count() == got.select("post_id").distinct().count() == spark.read.parquet(f"{folder}/documents.parquet").count()
