@@ -76,6 +76,15 @@ def test_cleaning_reads_a_text_once_for_words_and_spaces(spark):
     assert steps == 5 * whole
 
 
+def test_word_pairs_and_accents_of_odd_rows(spark):
+    df = spark.createDataFrame([("abc",), ("é",), ("aÉ ç b",), ("",), (None,), ("日本 é",)], "c string")
+    assert [r[0] for r in df.select(T.strip_accents("c")).collect()] == ["abc", "e", "aE c b", "", None, "日本 e"]
+    toks = df.select(F.array(F.lit("a"), F.lit("b"), F.lit("a")).alias("t")).limit(1)
+    none = F.lit(None).cast("array<string>")
+    got = toks.select(T.word_grams("t", 1, 3), T.word_grams(F.slice("t", 1, 1), 2, 2), T.word_grams(F.slice("t", 1, 0), 2, 2), T.word_grams(none, 2, 2)).first()
+    assert list(got) == [["a", "b", "a", "a b", "b a", "a b a"], [], [], []]
+
+
 def test_social_and_review(spark):
     assert one(spark, "né @x #tag http://q w", T.clean_social) == "n tag w"
     assert one(spark, "né  http://q w", T.clean_review) == "n w"
