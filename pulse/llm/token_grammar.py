@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -11,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,10 +27,17 @@ BIN_BITS = 20
 FALL = 4
 FEW = 1 << 15
 CACHE_WORDS = 1_500_000
+CHUNK = 1 << 22  # bytes of text encoded at once
 
 # A run of Latin letters that neither composition nor lower-casing splits,
 # then ASCII signs: the shape whose two pieces the tokenizer cuts apart.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\[-`{-~]*)")
+SIGNS = string.punctuation
+
+# Byte-level vocabularies spell bytes as printable signs: the others, in
+# ascending order, are moved up to 256.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_SIGNS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 FORMAT = (
     "part int, block int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, doc_symbols array<long>, "
@@ -59,17 +68,19 @@ def _learn(new: set[str], known: dict[str, bytes], tok) -> None:
     straight to the tokenizer's model; any other part takes its whole way."""
     pieces, odd = {}, set()
     for part in new:
-        m = PLAIN.fullmatch(part)
-        if m:
+        word = part.rstrip(SIGNS)
+        if word.isascii() and word.isalpha():
+            pieces[part] = (word.lower(), part[len(word) :])
+        elif m := PLAIN.fullmatch(part):
             pieces[part] = (m[1].lower(), m[2])
         else:
             odd.add(part)
     words = {w for w, _ in pieces.values()}.difference(known)
     odd.update({p for _, p in pieces.values()}.difference(known))
     known.update(_whole(sorted(odd), tok))
-    bytewise, model = tok.pre_tokenizer[1].pre_tokenize_str, tok.model.tokenize
+    model = tok.model.tokenize
     for w in words:
-        form = w if w.isascii() else bytewise(w)[0][0]
+        form = w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_SIGNS)
         known[w] = struct.pack(f"<{len(t)}I", *[x.id for x in t]) if (t := model(form)) else b""
     for part, (w, p) in pieces.items():
         known[part] = known[w] + known[p]
@@ -79,17 +90,30 @@ def encode(texts: list[str], path: str) -> list[np.ndarray]:
     """Token ids of each text (uint32), without special tokens.
 
     The vocabulary drops blanks and never joins across them, so a text's ids
-    are those of its parts between blanks and line ends. Each part is encoded
-    once while it stays in the worker's cache; the cache is emptied when it
-    holds ``CACHE_WORDS`` parts.
+    are those of its parts between blanks and line ends. Arrow cuts the texts
+    and numbers the distinct parts, so a part is looked up once for all texts
+    given. Each part is encoded once while it stays in the worker's cache; the
+    cache is emptied when it holds ``CACHE_WORDS`` parts.
     """
+    if not texts:
+        return []
     known = _cache.setdefault(path, {"": b""})
-    parts = [t.replace("\n", " ").split(" ") for t in texts]
     if len(known) > CACHE_WORDS:
         known.clear()
         known[""] = b""
-    _learn(set().union(*parts).difference(known), known, _tokenizer(path))
-    return [np.frombuffer(b"".join(map(known.__getitem__, p)), "<u4") for p in parts]
+    spaced = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " ")
+    cut = pc.split_pattern(spaced, " ")
+    numbered = cut.values.dictionary_encode()
+    distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+    codes = list(map(known.get, distinct))
+    if new := {p for p, ids in zip(distinct, codes, strict=True) if ids is None}:
+        _learn(new, known, _tokenizer(path))
+        codes = list(map(known.__getitem__, distinct))
+    size = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+    which = numbered.indices.to_numpy()
+    ids = _spread(np.frombuffer(b"".join(codes), "<u4"), np.cumsum(size) - size, size, which)
+    ends = np.concatenate(([0], np.cumsum(size[which])))[cut.offsets.to_numpy()]
+    return [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 # -- grammar ---------------------------------------------------------------
@@ -104,15 +128,35 @@ def _every_second(places: np.ndarray) -> np.ndarray:
 
 
 def _bins(pairs: np.ndarray) -> np.ndarray:
-    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BIN_BITS)).astype(np.int32)
+    mixed = pairs * np.uint64(0x9E3779B97F4A7C15)
+    mixed >>= np.uint64(64 - BIN_BITS)
+    return mixed.view(np.int64)
+
+
+def _order(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted pairs and their places before. Places go into the bits that
+    the symbols leave free, since plain numbers are sorted faster."""
+    half, low = np.uint64(32), np.uint64(0xFFFFFFFF)
+    left, right = values >> half, values & low
+    bits, room = (int(right.max(initial=0)).bit_length(), len(values).bit_length())
+    if int(left.max(initial=0)).bit_length() + bits + room > 64:
+        order = np.argsort(values)
+        return values[order], order
+    bits, room = np.uint64(bits), np.uint64(room)
+    left <<= bits
+    left |= right
+    left <<= room
+    left |= np.arange(len(values), dtype=np.uint64)
+    left.sort()
+    order = (left & ((np.uint64(1) << room) - np.uint64(1))).view(np.int64)
+    return values[order], order
 
 
 def _groups(code: np.ndarray, rules: np.ndarray) -> tuple[np.ndarray, ...]:
     """The distinct pairs: ``(pairs, count, rule, group)`` in the order of the
     pairs; ``rule`` is -1 without one, ``group`` is the pair of each place."""
     both = np.concatenate([rules, code])
-    order = np.argsort(both)
-    ordered = both[order]
+    ordered, order = _order(both)
     first = np.diff(ordered, prepend=~ordered[:1]) != 0
     group = np.empty(len(both), np.int32)
     group[order] = np.cumsum(first, dtype=np.int32) - 1
@@ -146,14 +190,17 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         inner[same] = False
         inner[_every_second(same)] = True
         at = np.flatnonzero(inner & live[:-1])
-        code = (s[at].astype(np.uint64) << np.uint64(32)) | s[at + 1]
+        code = s[at].astype(np.uint64)
+        code <<= np.uint64(32)
+        code |= s[1:][at]
         bins, least = _bins(code), max(2, least // FALL)
         if len(at) > FEW:
-            full = np.bincount(bins, minlength=1 << BIN_BITS)[bins]
-            # A pair alone in its bin occurs once, and again only with new symbols.
-            live[at[(full == 1) & ~ruled[bins]]] = False
+            full = np.bincount(bins, minlength=1 << BIN_BITS)
             least = max(2, min(least, int(full.max()) // FALL))
-            often = (full >= least) | ruled[bins]
+            # A pair alone in its bin occurs once, and again only with new symbols.
+            kind = (((full >= least) | ruled).view(np.int8) - ((full == 1) & ~ruled).view(np.int8))[bins]
+            live[at[np.flatnonzero(kind < 0)]] = False
+            often = np.flatnonzero(kind > 0)
             at, code, bins = at[often], code[often], bins[often]
         met = np.zeros(1 << BIN_BITS, bool)
         met[bins] = True
@@ -167,13 +214,16 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         of[rule >= 0] = known[rule[rule >= 0]]
         of[fresh] = len(rules) + np.arange(len(fresh))
         rank = np.full(len(s) + 1, none, np.int32)
-        rank[at + 1] = of[group]
-        own = rank[at + 1]
-        won = (own < none) & (own < rank[at]) & (own < rank[at + 2])
+        own = of[group]
+        rank[1:][at] = own
+        won = np.flatnonzero(own < none)
         hit, own = at[won], own[won]
+        won = np.flatnonzero((own < rank[hit]) & (own < rank[2:][hit]))
+        hit, own = hit[won], own[won]
         made = np.bincount(own, minlength=none) > 1
         made[: len(rules)] = True
-        hit, own = hit[made[own]], own[made[own]]
+        used = np.flatnonzero(made[own])
+        hit, own = hit[used], own[used]
         # The first rule has every place of its pair, so a round with any pair
         # to replace makes the text shorter. The last one looks at all places.
         if not len(hit):
@@ -190,6 +240,7 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray,
         live[hit], live[np.maximum(hit, 1) - 1] = True, True
         keep = np.ones(len(s), bool)
         keep[hit + 1] = False
+        keep = np.flatnonzero(keep)
         s, last, live = s[keep], last[keep], live[keep]
     return s, last, rules
 
@@ -327,7 +378,7 @@ def _packer(path: str, base: int, block_tokens: int, end_id: int):
             return pa.RecordBatch.from_pylist([row], schema)
 
         end = np.array([end_id], np.uint32)
-        for rows, texts in chunks(batches):
+        for rows, texts in chunks(batches, limit=CHUNK):
             for doc, x in zip(rows.column(0).to_pylist(), encode([t.decode() for t in texts], path), strict=True):
                 if held and held + len(x) + 1 > block_tokens:
                     yield block()

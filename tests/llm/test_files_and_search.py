@@ -100,6 +100,25 @@ def test_encoding_of_special_shapes():
         assert G.encode([text], PATH)[0].tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_encoding_of_many_texts_and_all_letters():
+    tok = Tokenizer.from_file(PATH)
+    letters = [chr(k) for k in range(0xC0, 0x250)]
+    texts = ["", " ", "\n", *(f"{c}b{c} a{c}?! {c}" for c in letters), "a\n\nb  c\0d", *(f"Ab{s}{s}" for s in G.SIGNS), "a?b!"]
+    got = G.encode(texts, PATH)
+    assert [x.tolist() for x in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert all(x.dtype == np.uint32 for x in got) and G.encode([], PATH) == []
+
+
+@pytest.mark.parametrize("top", [3, 2**19, 2**32 - 1])
+def test_pairs_are_ordered_with_their_places(top):
+    rng = np.random.default_rng(1)
+    pairs = (rng.integers(0, top, 999, dtype=np.uint64) << np.uint64(32)) | rng.integers(0, top, 999, dtype=np.uint64)
+    before = pairs.copy()
+    ordered, order = G._order(pairs)
+    assert (pairs == before).all() and (ordered == np.sort(pairs)).all()
+    assert (pairs[order] == ordered).all() and len(set(order.tolist())) == 999
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 9), max_size=200), min_size=1, max_size=12), st.sampled_from([12, 70_000]))
 def test_grammar_round_trip(docs, base):
