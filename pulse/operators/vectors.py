@@ -12,8 +12,9 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizer
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml import Transformer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.linalg import DenseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,10 +145,11 @@ class SplitVectors:
     ``splits`` are pairs of conditions: the rows to learn from, vocabulary and
     document frequencies included, and the rows to judge. ``data`` has the
     columns ``id, text, y_true, label, weight`` and those of the conditions.
-    The driver holds one vocabulary at a time, as a CountVectorizer does.
+    The driver holds one vocabulary at a time, as a CountVectorizer does. With
+    ``spelling`` each gram is kept with a row to read it from, for :meth:`stages`.
     """
 
-    def __init__(self, data: DataFrame, features: list[list], splits: list[tuple[Column, Column]]):
+    def __init__(self, data: DataFrame, features: list[list], splits: list[tuple[Column, Column]], spelling: bool = False):
         if len(splits) > MAX_SPLITS:
             raise ValueError(f"at most {MAX_SPLITS} splits")
 
@@ -155,6 +157,7 @@ class SplitVectors:
             marks = [F.when(s[k], F.lit(1 << i)).otherwise(0).cast("long") for i, s in enumerate(splits)]
             return sum(marks[1:], marks[0])
 
+        self.data, self.splits = data, splits
         self.lists, self.n_splits = {spelled(f): _blocks(f) for f in features}, len(splits)
         by_key = {b.key: b for blocks in self.lists.values() for b in blocks}
         self.names = {key: f"grams{i}" for i, key in enumerate(by_key)}
@@ -166,11 +169,12 @@ class SplitVectors:
         self.sizes = {r["_train"]: r["n"] for r in self.rows.groupBy("_train").agg(F.count(F.lit(1)).alias("n")).collect()}
         self.sums = {}
         for key, name in self.names.items():
-            each = self.rows.where("_train <> 0").select("_train", F.explode(name).alias("g")).select("_train", "g.h", "g.n")
+            each = self.rows.where("_train <> 0").select("id", "_train", F.explode(name).alias("g")).select("id", "_train", "g.h", "g.n")
             per = []
             for i in range(len(splits)):
                 inside = F.col("_train").bitwiseAND(1 << i) != 0
                 per += [F.count_if(inside).alias(f"df{i}"), F.sum(F.when(inside, F.col("n")).otherwise(0)).alias(f"total{i}")]
+                per += [F.min(F.when(inside, F.col("id"))).alias(f"id{i}")] if spelling else []
             # A gram of one row is in no vocabulary that asks for two.
             least = min(b.counter.getMinDF() for blocks in self.lists.values() for b in blocks if b.key == key)
             sums = each.groupBy(F.col("h").alias("gram")).agg(F.count(F.lit(1)).alias("_rows"), *per)
@@ -202,6 +206,36 @@ class SplitVectors:
         schema = T.StructType([*self.rows.select(*KEPT).schema.fields, T.StructField("word_vec", VectorUDT())])
         return tuple(spark.read.schema(schema).parquet(f"{path}/{part}") for part in ("train", "test"))
 
+    def stages(self, features: list, split: int = 0) -> list[Transformer]:
+        """The feature stages as fitted transformers. Their vectors are those of
+        :meth:`vectors`; the driver holds the terms of the vocabularies. Needs
+        a count with ``spelling``."""
+        blocks, out, idf = iter(self.lists[spelled(features)]), [], None
+        for stage in features:
+            if isinstance(stage, CountVectorizer):
+                block = next(blocks)
+                hashes, idf = self._terms(block, split)
+                terms = self._spelling(block, hashes, split)
+                out.append(CountVectorizerModel.from_vocabulary(terms, stage.getInputCol(), stage.getOutputCol()))
+            elif type(stage).__name__ == "SmoothIdf":
+                out.append(ElementwiseProduct(scalingVec=DenseVector(idf), inputCol=stage.getInputCol(), outputCol=stage.getOutputCol()))
+            else:
+                out.append(stage)
+        return out
+
+    def _spelling(self, block: _Block, hashes: np.ndarray, split: int) -> list[str]:
+        """The grams of a vocabulary in the order of their hashes. At most one
+        row is cut again for each, so no more rows than the vocabulary has terms."""
+        known = self.data.sparkSession.createDataFrame(pa.table({"gram": hashes}))
+        ids = self.sums[block.key].join(F.broadcast(known), "gram").select(F.col(f"id{split}").alias("_id")).distinct()
+        made = self.data.where(self.splits[split][0])
+        made = made.join(F.broadcast(ids), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+        for stage in block.cutters:
+            made = stage.transform(made)
+        grams = made.select(F.explode(block.counter.getInputCol()).alias("term")).select(F.xxhash64("term").alias("gram"), "term")
+        found = grams.join(F.broadcast(known), "gram").groupBy("gram").agg(F.min("term").alias("term")).orderBy("gram").toArrow()
+        return found.column("term").to_pylist()
+
     def blocks(self, features: list, labels: list[str]) -> Blocks:
         """All rows as blocks of counts over the union of the vocabularies of
         the splits, for fits side by side. ``label`` is a place in ``labels``."""

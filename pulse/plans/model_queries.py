@@ -170,7 +170,7 @@ def calibrated_probabilities(spark, d):
 def scored_posts(spark, d):
     path = run_dir(spark, "model")
     rows = stored(training(spark, d))
-    M.save_model(logistic(rows.count()).fit(rows), path)
+    M.save_model(M.fit_model(logistic(rows.count()), rows), path)
     posts = social(spark, d).select("post_id", "text")
     return M.score(posts, M.load_model(path)).drop("text")
 
@@ -178,7 +178,7 @@ def scored_posts(spark, d):
 @query("feature_weights")
 def feature_weights(spark, d):
     rows = stored(training(spark, d))
-    return M.feature_weights(logistic(rows.count()).fit(rows), spark)
+    return M.feature_weights(M.fit_model(logistic(rows.count()), rows), spark)
 
 
 @query("seed_stability")

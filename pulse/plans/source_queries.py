@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulse.operators import integrity as I
+from pulse.operators.models import fit_model
 from pulse.plans import pipelines as P
 from pulse.plans.model_queries import bayes, training
 from pulse.plans.registry import query
@@ -17,7 +18,7 @@ from pulse.plans.tables import PREDICTIONS, predictions, raw_posts, raw_users, s
 from pulse.sources import payloads as Y
 from pulse.sources import readers as D
 from pulse.sources import sinks as S
-from pulse.session import run_dir
+from pulse.session import run_dir, stored
 from pulse.streaming import streams as T
 
 _COLS = ["post_id", "user_id", "platform", "text_content", "timestamp", "likes", "shares", "comments"]
@@ -377,7 +378,7 @@ def stream_sentiment(spark, d):
 
 @query("stream_scored")
 def stream_scored(spark, d):
-    model = bayes().fit(training(spark, d))
+    model = fit_model(bayes(), stored(training(spark, d)))
     rows = document_stream(spark, d).select("post_id", "text")
     return finished(spark, T.score_stream(rows, model), "scored").drop("text")
 
