@@ -548,3 +548,46 @@ def test_threshold_sweep_against_brute_force(spark):
             guess = "Neutral" if p[1] >= t else ("Negative" if p[0] > p[2] else "Positive")
             hits += guess == y
         assert got[float(t)] == pytest.approx(hits / 50)
+
+
+def test_gram_sets_are_not_shuffled_as_a_whole(spark, monkeypatch):
+    """Only texts of candidate pairs are cut again, only prefixes are written."""
+    rnd = random.Random(8)
+    texts = [" ".join(f"w{rnd.randrange(9999)}x" for _ in range(100)) for _ in range(200)]
+    texts += [t + " tail" for t in texts[:4]]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    written, stored = {}, Z.stored
+
+    def watched(rows, name="stored"):
+        out = stored(rows, name)
+        written.setdefault(name, []).append(out)
+        return out
+
+    monkeypatch.setattr(Z, "stored", watched)
+    got = {(r.left_id, r.right_id) for r in Z.similar_sets(df.where("id < 100"), df.where("id >= 100")).collect()}
+    assert got == {(k, 200 + k) for k in range(4)}
+    # 98 or 99 grams a set, of which 20 are its prefix.
+    assert all(max(len(r.prefix) for r in x.collect()) <= 21 and "grams" not in x.columns for x in written["sets"])
+    assert sum(x.count() for x in written["chosen"]) <= 16 and "grams" not in written
+
+
+def test_a_sieve_lets_all_its_numbers_through(spark):
+    marked = spark.range(0, 4000, 2).select(F.xxhash64("id").alias("h"))
+    rows = spark.range(4000).select("id", F.xxhash64("id").alias("h"))
+    got = {r.id for r in Z._sifted(rows, "h", Z._sieve(marked)).collect()}
+    assert got >= set(range(0, 4000, 2)) and len(got) < 2600
+    empty = Z._sieve(marked.where("h = 0 AND h = 1"))
+    assert Z._sifted(rows, "h", empty).count() == 0
+
+
+def test_similar_sets_with_repeated_and_missing_ids(spark):
+    """A set is found by the id of one of its rows; other texts of that id do not disturb."""
+    a, b = (" ".join(f"{c}{k}x" for k in range(30)) for c in "ab")
+    rows = [(1, a), (1, b), (1, a), (None, a + " z9"), (2, "one two"), (3, None)]
+    left = spark.createDataFrame(rows, "id long, text string")
+    right = spark.createDataFrame([(7, a), (7, b), (None, b), (8, a)], "id long, text string")
+    got = {(r.left_id, r.right_id, round(r.jaccard, 3), r.left_copies, r.right_copies) for r in Z.similar_sets(left, right).collect()}
+    assert got == {(1, 7, 1.0, 2, 2), (1, 7, 1.0, 1, 2), (None, 7, 0.966, 1, 2)}
+    known = {(r.left_id, r.right_id, round(r.jaccard, 3), r.left_copies, r.right_copies) for r in Z.similar_sets(left, right, known_vocab_only=True).collect()}
+    assert known == {(1, 7, 1.0, 3, 2), (1, 7, 1.0, 1, 2)}
+    assert sorted((r.id or 0, r.n_near) for r in Z.near_counts(left, right).collect()) == [(0, 2), (1, 2), (1, 2), (1, 2)]
